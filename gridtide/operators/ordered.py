@@ -21,7 +21,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,8 +185,8 @@ class OrderedBlocks:
             .drop("_carried")
         )
 
-    def key_at(self, df: DataFrame, ranks: Sequence[int]) -> list[Row]:
-        """Order columns of the rows at the given 1-based ranks, exactly.
+    def key_at(self, df: DataFrame, ranks: Sequence[int]) -> list[Column]:
+        """Keys of the rows at the given 1-based ranks, exactly, as constants for ``up_to``.
 
         Per-block counts locate each rank; only distinct keys of the blocks hit are ranked.
         """
@@ -216,8 +216,12 @@ class OrderedBlocks:
             for rank, (block, inside) in places.items()
         ]
         found = counted.withColumn(_RANK, F.explode(F.array_compact(F.array(*covers))))
-        by_rank = {row[_RANK]: row for row in found.select(_RANK, *self.order_by).collect()}
-        return [by_rank[rank] for rank in ranks]
+        texts = {row[0]: row[1] for row in found.select(_RANK, F.to_json(_key(self.order_by), _JSON)).collect()}
+        return [F.from_json(F.lit(texts[rank]), self.key_type, _JSON) for rank in ranks]
+
+    def up_to(self, key: Column) -> Column:
+        """Whether a row comes at or before ``key`` in the order."""
+        return _key(self.order_by) <= key
 
 
 def _repeat(counted: DataFrame) -> DataFrame:
