@@ -25,6 +25,14 @@ def utc_wall_clock(col: Column, dtype: T.DataType) -> Column:
     )
 
 
+def utc_instant(col: Column, dtype: T.DataType) -> Column:
+    """A zone-less UTC wall clock as the instant it names; an instant passes unchanged."""
+    if not isinstance(dtype, T.TimestampNTZType):
+        return col
+    since = (col - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+    return F.timestamp_micros((since.cast("decimal(18,6)") * F.lit(1_000_000)).cast("long"))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """``end - start`` in seconds, to the microsecond."""
     return (end - start).cast("interval second").cast("decimal(20,6)").cast("double")

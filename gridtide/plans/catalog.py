@@ -272,8 +272,13 @@ def stream_daily_peak(spark, sf_dir):
 
 @query
 def stream_alerts(spark, sf_dir):
+    """One stream stores the hourly averages, a second follows that table."""
     stream = _event_stream(spark, sf_dir).select("ts", F.col("event_type").alias("job"), "value")
-    held = rules.sustained_stream(stream, "job", 45.0, "2 hours", "1 hour", "10 minutes")
+    hourly = rules.rolling_by_label(stream, ["job"], "1 hour", "1 hour", "10 minutes")
+    recorded = scratch_path(spark, "hourly")
+    rules.drain(hourly, recorded, scratch_path(spark, "hourly-checkpoint"))
+    followed = rules.read_files(spark, recorded, hourly.schema)
+    held = rules.sustained_stream(followed, "job", 45.0, "2 hours", "1 hour")
     return _drained(spark, "alerts", held).withColumns(_rounded("value"))
 
 

@@ -2,6 +2,7 @@
 
 All of them emit in append mode: a result appears once the watermark has passed its window, and
 never changes after that.  The newest windows of a drained source therefore stay open.
+Times come out on the UTC wall clock, whether they went in as instants or as zone-less times.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from gridtide.functions.temporal import clock_text, minute_of_day, seconds_of
+from gridtide.functions.temporal import clock_text, minute_of_day, seconds_of, type_of, utc_instant, utc_wall_clock
 from gridtide.operators.alerts import FIRING, PENDING, is_above
 from gridtide.operators.metrics import INSTANT
 
@@ -56,27 +57,32 @@ def rolling_by_label(
     """Aggregate of a sliding window by label, at every instant of the step."""
     if how not in ("avg", "sum", "min", "max", "count"):
         raise ValueError(f"Unknown aggregate {how!r}.")
+    end = utc_wall_clock(F.col("seen.end"), T.TimestampType())
     return (
-        samples.withWatermark(ts, late)
-        .groupBy(F.window(ts, window, step).alias("seen"), *labels)
+        samples.withColumn("_event", utc_instant(F.col(ts), type_of(samples, ts)))
+        .withWatermark("_event", late)
+        .groupBy(F.window("_event", window, step).alias("seen"), *labels)
         .agg(getattr(F, how)(value).alias("value"))
-        .select(F.col("seen.end").alias(INSTANT), *labels, "value")
+        .select(end.alias(INSTANT), *labels, "value")
     )
 
 
 def daily_peak_stream(df: DataFrame, late: str, time: str = "time", load: str = "load_actual") -> DataFrame:
     """Streaming form of the daily peak mart; a day is written when it is over."""
-    minute = minute_of_day(F.col(time))
+    dtype = type_of(df, time)
+    minute = minute_of_day(utc_wall_clock(F.col(time), dtype))
+    day = F.to_date(utc_wall_clock(F.col("seen.start"), T.TimestampType()))
     return (
         df.where(F.col(load).isNotNull())
-        .withWatermark(time, late)
-        .groupBy(F.window(time, "1 day").alias("seen"))
+        .select(utc_instant(F.col(time), dtype).alias("_event"), F.col(load).alias("load"), minute.alias("minute"))
+        .withWatermark("_event", late)
+        .groupBy(F.window("_event", "1 day").alias("seen"))
         .agg(
-            F.max(F.struct(F.col(load).alias("load"), (-minute).alias("late"))).alias("best"),
-            F.min(F.struct(F.col(load).alias("load"), minute.alias("minute"))).alias("least"),
+            F.max(F.struct("load", (-F.col("minute")).alias("late"))).alias("best"),
+            F.min(F.struct("load", "minute")).alias("least"),
         )
         .select(
-            F.to_date("seen.start").alias("day"),
+            day.alias("day"),
             F.col("best.load").alias("peak_load"),
             clock_text(-F.col("best.late")).alias("peak_time"),
             F.col("least.load").alias("min_load"),
@@ -85,24 +91,15 @@ def daily_peak_stream(df: DataFrame, late: str, time: str = "time", load: str =
     )
 
 
-def sustained_stream(
-    samples: DataFrame,
-    label: str,
-    threshold: float,
-    hold: str,
-    step: str,
-    late: str,
-    ts: str = "ts",
-    value: str = "value",
-) -> DataFrame:
-    """Alert on the step average of a label staying above the threshold for ``hold``.
+def sustained_stream(instants: DataFrame, label: str, threshold: float, hold: str, step: str) -> DataFrame:
+    """Alert on the value of a label staying above the threshold for ``hold``.
 
-    The average per step is a partial aggregate, so a crowded label reaches its state as one row
-    per instant.  The state of a label is the start and the newest instant of its current run.
+    ``instants`` is a stream of one value per instant and label, such as a stored
+    ``rolling_by_label`` table: aggregation comes first, so a crowded label reaches its state as
+    one row per instant.  Instants of a label have to arrive in order, as they do from such a
+    table.  The state of a label is the start and the newest instant of its current run.
     """
-    above = rolling_by_label(samples, [label], step, step, late, "avg", ts, value).where(
-        is_above(F.col("value"), threshold)
-    )
+    above = instants.where(is_above(F.col("value"), threshold)).select(label, INSTANT, "value")
     instant_type = above.schema[INSTANT].dataType
     micros = T.LongType()
     step_micros, hold_micros = seconds_of(step) * 1_000_000, seconds_of(hold) * 1_000_000
