@@ -35,11 +35,17 @@ def instant_values(
     )
 
 
-def by_label(instants: DataFrame, labels: Sequence[str], how: str) -> DataFrame:
-    """``avg``, ``sum``, ``min``, ``max`` or ``count`` over series, per instant and label."""
+def aggregate(how: str, value: str = "value") -> Column:
+    """``avg``, ``sum``, ``min``, ``max`` or ``count`` of the values, as ``value``."""
     if how not in ("avg", "sum", "min", "max", "count"):
         raise ValueError(f"Unknown aggregate {how!r}.")
-    return instants.groupBy(INSTANT, *labels).agg(getattr(F, how)("value").alias("value"))
+    return getattr(F, how)(value).alias("value")
+
+
+def by_label(instants: DataFrame, labels: Sequence[str], how: str, count: str | None = None) -> DataFrame:
+    """Aggregate over series, per instant and label; ``count`` names a column for their number."""
+    counted = [F.count("value").alias(count)] if count else []
+    return instants.groupBy(INSTANT, *labels).agg(aggregate(how), *counted)
 
 
 def top_series(instants: DataFrame, k: int, series: Sequence[str]) -> DataFrame:

@@ -32,6 +32,11 @@ def _rounded(*names: str) -> dict[str, Column]:
     return {name: F.round(name, 6) for name in names}
 
 
+def _settled(mean: str, count: str) -> Column:
+    """The same mean in every summing order: values have two decimals, so their sum is put back on them."""
+    return F.round(F.col(mean) * F.col(count), 4) / F.col(count)
+
+
 # --- staging and features -------------------------------------------------------------------
 
 
@@ -176,7 +181,8 @@ def metric_latest(spark, sf_dir):
 
 @query
 def metric_avg_by_label(spark, sf_dir):
-    return metrics.by_label(metric_latest(spark, sf_dir), ["job"], "avg").withColumns(_rounded("value"))
+    means = metrics.by_label(metric_latest(spark, sf_dir), ["job"], "avg", count="n")
+    return means.withColumn("value", _settled("value", "n")).drop("n")
 
 
 @query
@@ -230,7 +236,8 @@ def alert_sustained(spark, sf_dir):
 
 def _hourly_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = metrics.instant_of("ts", "1 hour").alias(metrics.INSTANT)
-    return _labelled(spark, sf_dir).groupBy("job", seen).agg(F.round(F.avg("value"), 6).alias("value"))
+    means = _labelled(spark, sf_dir).groupBy("job", seen).agg(F.avg("value").alias("value"), F.count("value").alias("n"))
+    return means.withColumn("value", _settled("value", "n")).drop("n")
 
 
 @query
@@ -260,8 +267,8 @@ def _drained(spark: SparkSession, name: str, result: DataFrame) -> DataFrame:
 @query
 def stream_rolling_avg(spark, sf_dir):
     stream = _event_stream(spark, sf_dir).select("ts", F.col("event_type").alias("job"), "value")
-    rolling = rules.rolling_by_label(stream, ["job"], "2 hours", "30 minutes", "10 minutes")
-    return _drained(spark, "rolling", rolling).withColumns(_rounded("value"))
+    rolling = rules.rolling_by_label(stream, ["job"], "2 hours", "30 minutes", "10 minutes", count="n")
+    return _drained(spark, "rolling", rolling).withColumn("value", _settled("value", "n")).drop("n")
 
 
 @query
@@ -274,12 +281,11 @@ def stream_daily_peak(spark, sf_dir):
 def stream_alerts(spark, sf_dir):
     """One stream stores the hourly averages, a second follows that table."""
     stream = _event_stream(spark, sf_dir).select("ts", F.col("event_type").alias("job"), "value")
-    hourly = rules.rolling_by_label(stream, ["job"], "1 hour", "1 hour", "10 minutes")
+    hourly = rules.rolling_by_label(stream, ["job"], "1 hour", "1 hour", "10 minutes", count="n")
     recorded = scratch_path(spark, "hourly")
     rules.drain(hourly, recorded, scratch_path(spark, "hourly-checkpoint"))
-    followed = rules.read_files(spark, recorded, hourly.schema)
-    held = rules.sustained_stream(followed, "job", 45.0, "2 hours", "1 hour")
-    return _drained(spark, "alerts", held).withColumns(_rounded("value"))
+    followed = rules.read_files(spark, recorded, hourly.schema).withColumn("value", _settled("value", "n"))
+    return _drained(spark, "alerts", rules.sustained_stream(followed, "job", 45.0, "2 hours", "1 hour"))
 
 
 # --- sources, sinks, whole jobs -------------------------------------------------------------

@@ -126,7 +126,7 @@ marked AS (
 _HOURLY = """
 hourly AS (
     SELECT event_type AS job, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS instant,
-        ROUND(AVG(value), 6) AS value
+        ROUND(SUM(value), 4) / COUNT(*) AS value
     FROM events GROUP BY ALL
 )"""
 _GAP = "AND instant - before <= INTERVAL '1 hour'"
@@ -177,7 +177,7 @@ SQL: dict[str, str] = {
     "metric_latest": f"WITH {_latest('1 hour', 'job, instance')} SELECT * FROM latest",
     "metric_avg_by_label": f"""
         WITH {_latest('1 hour', 'job, instance')}
-        SELECT instant, job, ROUND(AVG(value), 6) AS value FROM latest GROUP BY instant, job""",
+        SELECT instant, job, ROUND(SUM(value), 4) / COUNT(*) AS value FROM latest GROUP BY instant, job""",
     "metric_sum_matched": f"""
         WITH {_latest('1 hour', 'job, instance', "job IN ('click', 'view', 'purchase')")}
         SELECT instant, ROUND(SUM(value), 6) AS value FROM latest GROUP BY instant""",
@@ -211,7 +211,7 @@ SQL: dict[str, str] = {
             SELECT event_type AS job, value,
                 time_bucket(INTERVAL '30 minutes', ts) + i * INTERVAL '30 minutes' AS instant
             FROM events, range(1, 5) AS offsets(i))
-        SELECT instant, job, ROUND(AVG(value), 6) AS value FROM seen
+        SELECT instant, job, ROUND(SUM(value), 4) / COUNT(*) AS value FROM seen
         WHERE instant <= {_CLOSED} GROUP BY instant, job""",
     "stream_daily_peak": f"""
         WITH {_daily()} SELECT * FROM daily

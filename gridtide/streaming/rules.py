@@ -17,7 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gridtide.functions.temporal import clock_text, minute_of_day, seconds_of, type_of, utc_instant, utc_wall_clock
 from gridtide.operators.alerts import FIRING, PENDING, is_above
-from gridtide.operators.metrics import INSTANT
+from gridtide.operators.metrics import INSTANT, aggregate
 
 
 def read_files(
@@ -51,19 +51,22 @@ def rolling_by_label(
     step: str,
     late: str,
     how: str = "avg",
+    count: str | None = None,
     ts: str = "ts",
     value: str = "value",
 ) -> DataFrame:
-    """Aggregate of a sliding window by label, at every instant of the step."""
-    if how not in ("avg", "sum", "min", "max", "count"):
-        raise ValueError(f"Unknown aggregate {how!r}.")
+    """Aggregate of a sliding window by label, at every instant of the step.
+
+    ``count`` names a column for the number of samples in the window.
+    """
+    counted = {count: F.count(value)} if count else {}
     end = utc_wall_clock(F.col("seen.end"), T.TimestampType())
     return (
         samples.withColumn("_event", utc_instant(F.col(ts), type_of(samples, ts)))
         .withWatermark("_event", late)
         .groupBy(F.window("_event", window, step).alias("seen"), *labels)
-        .agg(getattr(F, how)(value).alias("value"))
-        .select(end.alias(INSTANT), *labels, "value")
+        .agg(aggregate(how, value), *[col.alias(name) for name, col in counted.items()])
+        .select(end.alias(INSTANT), *labels, "value", *counted)
     )
 
 
