@@ -283,7 +283,7 @@ def stream_alerts(spark, sf_dir):
     stream = _event_stream(spark, sf_dir).select("ts", F.col("event_type").alias("job"), "value")
     hourly = rules.rolling_by_label(stream, ["job"], "1 hour", "1 hour", "10 minutes", count="n")
     recorded = scratch_path(spark, "hourly")
-    rules.drain(hourly, recorded, scratch_path(spark, "hourly-checkpoint"))
+    rules.drain(hourly, recorded, scratch_path(spark, "hourly-checkpoint"), by=["job"])
     followed = rules.read_files(spark, recorded, hourly.schema).withColumn("value", _settled("value", "n"))
     return _drained(spark, "alerts", rules.sustained_stream(followed, "job", 45.0, "2 hours", "1 hour"))
 

@@ -30,10 +30,15 @@ def read_files(
     return reader.parquet(path)
 
 
-def drain(result: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Process what is available, then read the output table.  Both paths are on shared storage."""
+def drain(result: DataFrame, out: str, checkpoint: str, by: Sequence[str] = ()) -> DataFrame:
+    """Process what is available, then read the output table.  Both paths are on shared storage.
+
+    With ``by``, the rows of one batch that agree in these columns go to one file, so a stream
+    that follows the table gets the rows of a label in the order of the batches.
+    """
     query = (
-        result.writeStream.format("parquet")
+        (result.repartition(*by) if by else result)
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
@@ -99,8 +104,8 @@ def sustained_stream(instants: DataFrame, label: str, threshold: float, hold: st
 
     ``instants`` is a stream of one value per instant and label, such as a stored
     ``rolling_by_label`` table: aggregation comes first, so a crowded label reaches its state as
-    one row per instant.  Instants of a label have to arrive in order, as they do from such a
-    table.  The state of a label is the start and the newest instant of its current run.
+    one row per instant.  Instants of a label have to arrive in order, as they do from a table
+    stored by label.  The state of a label is the start and the newest instant of its current run.
     """
     above = instants.where(is_above(F.col("value"), threshold)).select(label, INSTANT, "value")
     instant_type = above.schema[INSTANT].dataType
