@@ -32,7 +32,7 @@ _RANK = "_order_rank"
 _COPIES = "_order_copies"
 
 ROWS_PER_BLOCK = 1_000_000
-_MIN_ROWS_PER_BLOCK = 1_000
+MAX_BLOCKS = 50_000  # bounds the cut keys in a plan and the rows of every per-block table
 _MAX_SAMPLE = 1_000_000
 _EXPAND_CHUNK = 100_000
 
@@ -69,17 +69,16 @@ class OrderedBlocks:
         keyed = df.select(_key(order_by).alias(_KEY))
         key_type = keyed.schema[_KEY].dataType
         rows = keyed.count()
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        floor = max(1, min(rows_per_block, _MIN_ROWS_PER_BLOCK))
-        blocks = max(math.ceil(rows / rows_per_block), min(cores, rows // floor), 1)
-        if blocks == 1:
+        blocks = min(math.ceil(rows / rows_per_block), MAX_BLOCKS)
+        if blocks <= 1:
             return cls(tuple(order_by), key_type, (), frozenset())
-        wanted = blocks * max(10, min(100, _MAX_SAMPLE // blocks))
+        wanted = min(blocks * 100, _MAX_SAMPLE)
         drawn = keyed if wanted >= rows else keyed.sample(False, wanted / rows, seed=17)
         ordered = drawn.agg(F.sort_array(F.collect_list(_KEY)).alias("keys"))
 
         def key_text(i: Column) -> Column:
-            return F.to_json(F.get("keys", F.floor(i * F.size("keys") / F.lit(blocks)).cast("int")), _JSON)
+            place = F.floor(i.cast("long") * F.size("keys") / F.lit(blocks)).cast("int")
+            return F.to_json(F.get("keys", place), _JSON)
 
         picked = ordered.select(F.transform(F.sequence(F.lit(1), F.lit(blocks - 1)), key_text)).first()[0]
         cuts: list[str] = []

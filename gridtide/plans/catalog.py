@@ -58,6 +58,13 @@ def features_lag(spark, sf_dir):
     return wide.features(staged_load(spark, sf_dir), tiebreak=["event_id"]).drop("event_id")
 
 
+@query
+def features_lag_blocks(spark, sf_dir):
+    """The same with small blocks, so that small tables are cut as large ones are."""
+    staged = staged_load(spark, sf_dir)
+    return wide.features(staged, tiebreak=["event_id"], rows_per_block=2_000).drop("event_id")
+
+
 @query
 def features_calendar(spark, sf_dir):
     return wide.with_calendar(staged_load(spark, sf_dir)).select("event_id", "time", "hour_of_day", "day_of_week")

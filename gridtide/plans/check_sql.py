@@ -138,6 +138,7 @@ SQL: dict[str, str] = {
         WITH {_WIDE} SELECT wide.event_id, {_SEVEN} FROM wide JOIN events USING (event_id)
         WHERE event_type <> 'purchase'""",
     "features_lag": _FEATURES,
+    "features_lag_blocks": _FEATURES,
     "features_calendar": f"""
         WITH {_WIDE} SELECT event_id, time, CAST(hour(time) AS INTEGER) AS hour_of_day,
             CAST(dayofweek(time) AS INTEGER) AS day_of_week FROM wide""",
