@@ -32,7 +32,7 @@ _RANK = "_order_rank"
 _COPIES = "_order_copies"
 
 ROWS_PER_BLOCK = 1_000_000
-MAX_BLOCKS = 50_000  # bounds the cut keys in a plan and the rows of every per-block table
+MAX_BLOCKS = 20_000  # bounds cut keys in a plan, shuffle partitions and rows of every per-block table
 _MAX_SAMPLE = 1_000_000
 _EXPAND_CHUNK = 100_000
 
@@ -132,7 +132,8 @@ class OrderedBlocks:
 
         Each copy of a row repeated more than ``max offset`` times has its own values at every
         offset, so for heavy blocks only the first copies pass through the window and the rest
-        are written back around it.
+        are written back around it.  Apart from those, the result is in order within and across
+        its partitions, so writing it gives files in order.
         """
         depth = max((offset for _, offset in lags.values()), default=0)
         if depth < 1 or min(offset for _, offset in lags.values()) < 1:
@@ -151,6 +152,8 @@ class OrderedBlocks:
             main = main.withColumn(_HALO, F.lit(False)).unionByName(
                 halo.withColumn(_HALO, F.lit(True)), allowMissingColumns=True
             )
+            # Partition i is block i: one block per task, and partitions follow the order.
+            main = main.repartitionById(self.blocks, BLOCK)
         window = Window.partitionBy(BLOCK).orderBy(*self.order_by)
         lagged = main.withColumns({new: F.lag(column, offset).over(window) for new, (column, offset) in lags.items()})
         if self.cuts:
