@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def label(labels: Column, name: str) -> Column:
-    return F.coalesce(F.try_element_at(labels, F.lit(name)), F.lit(""))
+    return F.coalesce(labels[name], F.lit(""))
 
 
 def label_is(labels: Column, name: str, value: str) -> Column:

@@ -34,7 +34,7 @@ def sustained(
     A run ends at a sample of the series that is not above the threshold or, with ``max_gap``,
     after a longer silence.  The state is ``firing`` once the run has lasted ``hold``.  Runs are
     found on one order over (series, time) cut into blocks, so neither a long run nor a crowded
-    series has to fit in a task.
+    series has to fit in a task.  ``samples`` is read several times: hand in a stored table.
     """
     needed = samples.select(*dict.fromkeys([*series, ts, value, *tiebreak]))
     order = [*series, ts, *(tiebreak or [value])]

@@ -29,27 +29,23 @@ SELECT {_SEVEN}, load_actual - load_forecast AS forecast_error,
 FROM wide WINDOW w AS (ORDER BY time, event_id)"""
 
 
-def _daily(load: str = "load_actual", having: str = "") -> str:
-    return f"""{_WIDE}, ranked AS (
-    SELECT CAST(time AS DATE) AS day, strftime(time, '%H:%M') AS clock, {load} AS load,
-        ROW_NUMBER() OVER (PARTITION BY CAST(time AS DATE) ORDER BY {load} DESC, time) AS peak_rank,
-        ROW_NUMBER() OVER (PARTITION BY CAST(time AS DATE) ORDER BY {load} ASC, time) AS min_rank
-    FROM wide WHERE load_actual IS NOT NULL
-), daily AS (
-    SELECT day, MAX(CASE WHEN peak_rank = 1 THEN load END) AS peak_load,
-        MAX(CASE WHEN peak_rank = 1 THEN clock END) AS peak_time,
-        MAX(CASE WHEN min_rank = 1 THEN load END) AS min_load,
-        MAX(CASE WHEN min_rank = 1 THEN clock END) AS min_time
-    FROM ranked GROUP BY day {having}
+def _daily(load: str = "load_actual") -> str:
+    clock = "strftime(time, '%H:%M')"
+    return f"""{_WIDE}, daily AS (
+    SELECT CAST(time AS DATE) AS day,
+        first({load} ORDER BY {load} DESC, time) AS peak_load, first({clock} ORDER BY {load} DESC, time) AS peak_time,
+        first({load} ORDER BY {load}, time) AS min_load, first({clock} ORDER BY {load}, time) AS min_time
+    FROM wide WHERE load_actual IS NOT NULL GROUP BY ALL
 )"""
 
 
 def _long(series: tuple[str, ...], where: str = "") -> str:
-    branches = [f"SELECT time, '{name}' AS \"Type\", {name} AS \"Load (MW)\" FROM source {where}" for name in series]
-    return (
-        f"WITH {_WIDE}, source AS (SELECT *, load_actual - load_forecast AS forecast_error FROM wide)\n"
-        + "\nUNION ALL\n".join(branches)
-    )
+    names = ", ".join(series)
+    return f"""
+WITH {_WIDE}, chosen AS (
+    SELECT time, {names} FROM (SELECT *, load_actual - load_forecast AS forecast_error FROM wide) {where}
+)
+SELECT time, "Type", "Load (MW)" FROM chosen UNPIVOT INCLUDE NULLS ("Load (MW)" FOR "Type" IN ({names}))"""
 
 
 _MONTH = "WHERE strftime(time, '%Y-%m') = '2024-02'"
@@ -58,7 +54,7 @@ _QUALITY = f"""
 WITH {_WIDE}
 SELECT COUNT(*) AS total_rows, MIN(time) AS start_date, MAX(time) AS end_date,
     ROUND(AVG(load_actual), 6) AS avg_load_mw, MAX(load_actual) AS max_load_mw, MIN(load_actual) AS min_load_mw,
-    CAST(SUM(CASE WHEN load_actual IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_counts
+    COUNT(*) FILTER (load_actual IS NULL) AS null_counts
 FROM wide"""
 
 
@@ -190,6 +186,9 @@ SQL: dict[str, str] = {
     "busy_percent": f"""
         WITH {_rates('2 days', '12 hours', 4, 'job, instance', "event_type IN ('click', 'view')")}
         SELECT instant, instance, ROUND(100 - AVG(value) * 100, 6) AS value FROM rates GROUP BY instant, instance""",
+    "metric_rate_by_label": f"""
+        WITH {_rates('2 days', '12 hours', 4, 'job, instance', "event_type <> 'signup'")}
+        SELECT instant, job, ROUND(SUM(value) * 100, 6) AS value FROM rates GROUP BY instant, job""",
     "metric_topk": f"""
         WITH {_latest('6 hours', 'job, instance')}, ranked AS (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY instant ORDER BY value DESC, job, instance) AS n FROM latest)

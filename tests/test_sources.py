@@ -109,3 +109,13 @@ def test_scratch_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert scratch_root(spark) == root
     assert scratch_path(spark, "x") != scratch_path(spark, "x") and scratch_path(spark, "x").startswith(f"{root}/x-")
+
+
+def test_scratch_folder_of_a_local_session_without_one(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        own = scratch_root(spark)
+        assert own == scratch_root(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", root)
