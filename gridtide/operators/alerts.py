@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.functions.temporal import duration
-from gridtide.operators.ordered import ROWS_PER_BLOCK, OrderedBlocks
+from gridtide.operators.ordered import ROWS_PER_BLOCK, OrderedBlocks, collapse_copies, restore_copies
 
 PENDING, FIRING = "pending", "firing"
 
@@ -39,6 +39,9 @@ def sustained(
     needed = samples.select(*dict.fromkeys([*series, ts, value, *tiebreak]))
     order = [*series, ts, *(tiebreak or [value])]
     blocks = OrderedBlocks.fit(needed, order, rows_per_block)
+    copied = bool(blocks.heavy)
+    if copied:
+        needed, blocks = collapse_copies(needed), blocks.collapsed()
     before = {f"_before_{name}": (name, 1) for name in (*series, ts, value)}
     lagged = blocks.lag(needed, before, keep_blocks=True)
     goes_on = F.coalesce(is_above(F.col(f"_before_{value}"), threshold), F.lit(False))
@@ -50,9 +53,10 @@ def sustained(
     starts = lagged.withColumn("_start", F.when(above & ~goes_on, F.col(ts)))
     runs = blocks.last_seen(starts, "_start", "active_since")
     fires = F.col(ts) >= F.col("active_since") + duration(hold)
-    return runs.where(above).select(
-        *series, ts, value, "active_since", F.when(fires, FIRING).otherwise(PENDING).alias("state")
-    )
+    found = runs.where(above)
+    if copied:
+        found = restore_copies(found)
+    return found.select(*series, ts, value, "active_since", F.when(fires, FIRING).otherwise(PENDING).alias("state"))
 
 
 def firing_count(alerts: DataFrame, ts: str = "ts") -> DataFrame:

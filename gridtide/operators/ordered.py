@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ BLOCK = "_order_block"
 _KEY = "_order_key"
 _HALO = "_order_halo"
 _RANK = "_order_rank"
-_COPIES = "_order_copies"
+COPIES = "_order_copies"
 
 ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 20_000  # bounds cut keys in a plan, shuffle partitions and rows of every per-block table
@@ -92,6 +92,10 @@ class OrderedBlocks:
                 cuts.append(text)
         return cls(tuple(order_by), key_type, tuple(cuts), frozenset(heavy))
 
+    def collapsed(self) -> OrderedBlocks:
+        """The same cuts for a frame from ``collapse_copies``, which has no heavy blocks."""
+        return replace(self, heavy=frozenset())
+
     def attach(self, df: DataFrame) -> DataFrame:
         """Add the block of every row: the number of cut keys at or below its key.
 
@@ -142,11 +146,11 @@ class OrderedBlocks:
         main, rest = blocked, None
         if self.heavy:
             in_heavy = F.col(BLOCK).isin(sorted(self.heavy))
-            counted = blocked.where(in_heavy).groupBy(*df.columns, BLOCK).agg(F.count(F.lit(1)).alias(_COPIES))
-            few = _repeat(counted.withColumn(_COPIES, F.least(_COPIES, F.lit(depth).cast("long"))))
+            counted = collapse_copies(blocked.where(in_heavy))
+            few = _repeat(counted.withColumn(COPIES, F.least(COPIES, F.lit(depth).cast("long"))))
             main = blocked.where(~in_heavy).unionByName(few)
-            many = counted.where(F.col(_COPIES) > depth).withColumn(_COPIES, F.col(_COPIES) - depth)
-            rest = _repeat_dealt(many).withColumns({new: F.col(column) for new, (column, _) in lags.items()})
+            many = counted.where(F.col(COPIES) > depth).withColumn(COPIES, F.col(COPIES) - depth)
+            rest = restore_copies(many).withColumns({new: F.col(column) for new, (column, _) in lags.items()})
         if self.cuts:
             halo = self._halo(blocked, depth, sorted({column for column, _ in lags.values()}))
             main = main.withColumn(_HALO, F.lit(False)).unionByName(
@@ -166,8 +170,11 @@ class OrderedBlocks:
         """Last non-null ``column`` at or before each row; ``blocked`` comes from ``lag(keep_blocks=True)``.
 
         Blocks are scanned apart; each then takes the last value of the blocks before it from a
-        table of one row per block.
+        table of one row per block.  Copies of a row would stay together here, so frames with heavy
+        blocks have to be collapsed first.
         """
+        if self.heavy:
+            raise ValueError("Collapse the copies in this frame first.")
         window = Window.partitionBy(BLOCK).orderBy(*self.order_by).rowsBetween(Window.unboundedPreceding, 0)
         scanned = blocked.withColumn(out, F.last(column, ignorenulls=True).over(window))
         if not self.cuts:
@@ -207,12 +214,12 @@ class OrderedBlocks:
         counted = (
             blocked.where(F.col(BLOCK).isin(sorted({block for block, _ in places.values()})))
             .groupBy(BLOCK, *self.order_by)
-            .agg(F.count(F.lit(1)).alias(_COPIES))
-            .withColumn("_upto", F.sum(_COPIES).over(running))
+            .agg(F.count(F.lit(1)).alias(COPIES))
+            .withColumn("_upto", F.sum(COPIES).over(running))
         )
         covers = [
             F.when(
-                (F.col(BLOCK) == block) & F.col("_upto").between(inside, F.lit(inside - 1) + F.col(_COPIES)),
+                (F.col(BLOCK) == block) & F.col("_upto").between(inside, F.lit(inside - 1) + F.col(COPIES)),
                 F.lit(rank).cast("long"),
             )
             for rank, (block, inside) in places.items()
@@ -227,18 +234,24 @@ class OrderedBlocks:
 
 
 def _repeat(counted: DataFrame) -> DataFrame:
-    numbers = F.sequence(F.lit(1).cast("long"), F.col(_COPIES))
-    return counted.withColumn(_RANK, F.explode(numbers)).drop(_RANK, _COPIES)
+    numbers = F.sequence(F.lit(1).cast("long"), F.col(COPIES))
+    return counted.withColumn(_RANK, F.explode(numbers)).drop(_RANK, COPIES)
+
+
+def collapse_copies(df: DataFrame) -> DataFrame:
+    """Each distinct row once, with the number of its copies; merged on the map side first."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def _repeat_dealt(counted: DataFrame) -> DataFrame:
-    """``_repeat`` for long runs: chunks of a run are dealt over tasks before they grow."""
+def restore_copies(counted: DataFrame) -> DataFrame:
+    """Undo ``collapse_copies``; chunks of a long run are dealt over tasks before they grow."""
     chunk = F.lit(_EXPAND_CHUNK).cast("long")
-    last = F.ceil(F.col(_COPIES) / chunk).cast("long") - 1
+    last = F.ceil(F.col(COPIES) / chunk).cast("long") - 1
+    columns = [name for name in counted.columns if name != COPIES]
     dealt = (
         counted.withColumn(_RANK, F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .withColumn(_COPIES, F.least(chunk, F.col(_COPIES) - F.col(_RANK) * chunk))
-        .repartition(BLOCK, _RANK)
+        .withColumn(COPIES, F.least(chunk, F.col(COPIES) - F.col(_RANK) * chunk))
+        .repartition(*columns, _RANK)
     )
     return _repeat(dealt.drop(_RANK))
 

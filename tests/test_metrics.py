@@ -149,3 +149,14 @@ def test_one_series_holding_everything(spark, at):
     hot = [row for row in got.collect() if row.job == "hot"]
     assert len(hot) == 400 and {row.active_since for row in hot} == {at(0)}
     assert sum(row.state == "firing" for row in hot) == 400 - 120
+
+
+def test_repeated_samples_of_an_alert_are_all_reported(spark, at):
+    rows = [("a", at(0), 90.0), ("a", at(200), 95.0), ("a", at(300), 10.0)] + [("a", at(130), 99.0)] * 300
+    got = alerts.sustained(spark.createDataFrame(rows, SCHEMA), ["job"], 80.0, "2 minutes", rows_per_block=20)
+    counts = {(row.ts, row.active_since, row.state): row["count"] for row in got.groupBy("ts", "active_since", "state").count().collect()}
+    assert counts == {
+        (at(0), at(0), "pending"): 1,
+        (at(130), at(0), "firing"): 300,
+        (at(200), at(0), "firing"): 1,
+    }
