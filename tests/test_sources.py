@@ -1,6 +1,7 @@
 """Files, tables and external sources."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from conftest import plan_of
@@ -111,11 +112,13 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x") and scratch_path(spark, "x").startswith(f"{root}/x-")
 
 
-def test_scratch_folder_of_a_local_session_without_one(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        own = scratch_root(spark)
-        assert own == scratch_root(spark)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", root)
+@pytest.mark.parametrize("master", ["local[8]", "spark://host:7077"])
+def test_scratch_folder_without_the_setting(master):
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master=master)
+    )
+    if master.startswith("local"):
+        assert scratch_root(session) == scratch_root(session)
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_root(session)
