@@ -255,7 +255,8 @@ def alert_sustained(spark, sf_dir):
 def _hourly_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A recorded rule: stored, because the alert on it reads it several times."""
     seen = metrics.instant_of("ts", "1 hour").alias(metrics.INSTANT)
-    means = _labelled(spark, sf_dir).groupBy("job", seen).agg(F.avg("value").alias("value"), F.count("value").alias("n"))
+    hours = _labelled(spark, sf_dir).groupBy("job", seen)
+    means = hours.agg(F.avg("value").alias("value"), F.count("value").alias("n"))
     path = scratch_path(spark, "hourly")
     write_parquet(means.withColumn("value", _settled("value", "n")).drop("n"), path)
     return read_parquet(spark, path)

@@ -179,7 +179,7 @@ SQL: dict[str, str] = {
         WITH {_latest('1 hour', 'job, instance', "job IN ('click', 'view', 'purchase')")}
         SELECT instant, ROUND(SUM(value), 6) AS value FROM latest GROUP BY instant""",
     "targets_up": f"""
-        WITH {_latest('1 hour', 'instance', value="CASE WHEN event_type = 'error' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END")}
+        WITH {_latest('1 hour', 'instance', value="CAST(event_type <> 'error' AS DOUBLE)")}
         SELECT instant, SUM(value) AS value FROM latest GROUP BY instant""",
     "metric_counter_rate": f"""
         WITH {_rates('2 hours', '30 minutes', 4, 'job')} SELECT job, instant, ROUND(value, 6) AS value FROM rates""",

@@ -47,5 +47,6 @@ def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> int:
     if sort_by:
         df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return int(seen.get["rows"])

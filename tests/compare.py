@@ -46,7 +46,8 @@ def differences(result, sql: str, connection) -> list[str]:
     cursor = connection.execute(sql)
     expected_types = {column[0]: str(column[1]) for column in cursor.description}
     expected = cursor.fetchall()
-    actual_types = {field.name: KINDS.get(field.dataType.simpleString(), field.dataType.simpleString()) for field in result.schema}
+    kinds = {field.name: field.dataType.simpleString() for field in result.schema}
+    actual_types = {name: KINDS.get(kind, kind) for name, kind in kinds.items()}
     if actual_types != expected_types:
         return [f"types {actual_types} instead of {expected_types}"]
     actual = [tuple(row) for row in result.collect()]

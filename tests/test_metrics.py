@@ -95,7 +95,8 @@ def test_used_percent_needs_both_gauges(spark, at):
 
 
 def test_busy_percent(spark, at):
-    df = spark.createDataFrame([("a", 0, at(0), 0.9), ("a", 1, at(0), 0.7)], "instance string, cpu int, instant timestamp_ntz, value double")
+    schema = "instance string, cpu int, instant timestamp_ntz, value double"
+    df = spark.createDataFrame([("a", 0, at(0), 0.9), ("a", 1, at(0), 0.7)], schema)
     assert metrics.busy_percent(df, ["instance"]).first().value == pytest.approx(20.0)
 
 
@@ -139,7 +140,8 @@ def test_alert_gap_ends_a_run(spark, at):
         ("a", at(45), at(45), "pending"),
         ("a", at(60), at(45), "firing"),
     ]
-    assert [(row.ts, row.firing) for row in alerts.firing_count(got).orderBy("ts").collect()] == [(at(15), 1), (at(60), 1)]
+    firing = alerts.firing_count(got).orderBy("ts").collect()
+    assert [(row.ts, row.firing) for row in firing] == [(at(15), 1), (at(60), 1)]
 
 
 def test_one_series_holding_everything(spark, at):
@@ -154,7 +156,8 @@ def test_one_series_holding_everything(spark, at):
 def test_repeated_samples_of_an_alert_are_all_reported(spark, at):
     rows = [("a", at(0), 90.0), ("a", at(200), 95.0), ("a", at(300), 10.0)] + [("a", at(130), 99.0)] * 300
     got = alerts.sustained(spark.createDataFrame(rows, SCHEMA), ["job"], 80.0, "2 minutes", rows_per_block=20)
-    counts = {(row.ts, row.active_since, row.state): row["count"] for row in got.groupBy("ts", "active_since", "state").count().collect()}
+    grouped = got.groupBy("ts", "active_since", "state").count().collect()
+    counts = {(row.ts, row.active_since, row.state): row["count"] for row in grouped}
     assert counts == {
         (at(0), at(0), "pending"): 1,
         (at(130), at(0), "firing"): 300,

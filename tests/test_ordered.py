@@ -73,7 +73,9 @@ def test_order_types(spark, at):
     rows = [(f"s{i % 3}", at(i * 7 % 50 + i / 1e6), i * 0.1, i % 2 == 0) for i in range(120)]
     df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, v double, b boolean")
     lags = {"before": ("ts", 1), "name": ("s", 4)}
-    for frame in (df, df.withColumn("ts", F.col("ts").cast("timestamp")), df.withColumn("v", F.col("v").cast("decimal(9,4)"))):
+    instants = df.withColumn("ts", F.col("ts").cast("timestamp"))
+    decimals = df.withColumn("v", F.col("v").cast("decimal(9,4)"))
+    for frame in (df, instants, decimals):
         same_rows(
             global_lag(frame, ["s", "b", "ts"], lags, ["v"], 6), plain(frame, ["s", "b", "ts", "v"], lags)
         )

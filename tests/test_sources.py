@@ -1,6 +1,5 @@
 """Files, tables and external sources."""
 
-import datetime as dt
 from types import SimpleNamespace
 
 import pytest

@@ -1,10 +1,12 @@
 """The batch stages and training, end to end on small files."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from gridtide import __main__ as command
 from gridtide.plans import stages
 from gridtide.plans.training import TrainingSpec, chronological_split, save_predictions, train
 from gridtide.sources.spec import POWER_LOAD_COLUMNS, power_load_source
@@ -37,6 +39,21 @@ def test_whole_run(spark, tmp_path):
     assert (peak.day, peak.peak_load, peak.peak_time) == (dt.date(2015, 1, 1), 42300.0, "23:00")
 
 
+def test_command_line(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(command, "build_session", lambda: spark)
+    columns = [{"raw": raw, "clean": clean} for raw, clean in POWER_LOAD_COLUMNS]
+    entry = {"raw_file": raw_csv(tmp_path / "a.csv", 48), "timestamp": "utc_timestamp", "columns": columns}
+    (tmp_path / "sources.json").write_text(json.dumps({"load": entry}), encoding="utf-8")
+    for name in ("ingestion", "preprocessing", "marts"):
+        command.main([name, "--sources", str(tmp_path / "sources.json"), "--root", f"{tmp_path}/out/"])
+    layout = stages.Layout(f"{tmp_path}/out")
+    assert spark.read.parquet(layout.daily_peak("load")).count() == 2
+    grid = {"n_estimators": [2], "max_depth": [2], "min_samples_split": [1], "learning_rate": [0.3]}
+    sources = command.read_sources(str(tmp_path / "sources.json"))
+    command.run_training(spark, sources, layout, TrainingSpec(grid=grid))
+    assert spark.read.parquet(layout.scores("load")).first().scored_rows == 9
+
+
 def test_one_failing_source_does_not_stop_the_rest(spark, tmp_path):
     layout = stages.Layout(str(tmp_path / "out"))
     good = power_load_source(raw_csv(tmp_path / "a.csv", 24), "ok")
@@ -82,8 +99,10 @@ def test_training_finds_a_plain_relation(spark, tmp_path):
     start = dt.datetime(2020, 1, 1)
     rows = [(start + dt.timedelta(hours=h), 10.0 * (h % 24) + 5, float(h % 24), float(h % 7), 1.0) for h in range(400)]
     rows += [(start, None, 1.0, 1.0, 1.0)]
-    df = spark.createDataFrame(rows, "time timestamp_ntz, load_actual double, solar_actual double, wind_actual double, wind_offshore double")
-    spec = TrainingSpec(grid={"n_estimators": [2, 8], "max_depth": [4], "min_samples_split": [1], "learning_rate": [0.3]})
+    inputs = "solar_actual double, wind_actual double, wind_offshore double"
+    df = spark.createDataFrame(rows, f"time timestamp_ntz, load_actual double, {inputs}")
+    grid = {"n_estimators": [2, 8], "max_depth": [4], "min_samples_split": [1], "learning_rate": [0.3]}
+    spec = TrainingSpec(grid=grid)
     result = train(df, spec)
     assert result.best["n_estimators"] == 8 and set(result.best) == set(spec.grid)
     scores = result.scores.first()

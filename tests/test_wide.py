@@ -12,7 +12,9 @@ from gridtide.operators import marts, quality, wide
 from gridtide.plans.event_tables import staged_load
 from gridtide.sources.spec import SourceSpec
 
-WIDE = "time timestamp_ntz, load_actual double, load_forecast double, solar_actual double, wind_actual double, wind_onshore double, wind_offshore double"
+WIDE = """time timestamp_ntz, load_actual double, load_forecast double, solar_actual double, wind_actual double,
+    wind_onshore double, wind_offshore double"""
+DAILY = "day date, peak_load double, peak_time string, min_load double, min_time string"
 
 
 def table(spark, rows):
@@ -106,7 +108,7 @@ def test_display(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double").select(with_unit(F.col("v"), "MW"))
     got = [row[0] for row in df.collect()]
     assert got == ["560.21 MW", "100.0 MW", "15000000.0 MW", "123456789.25 MW", "0.0005 MW", None]
-    days = spark.createDataFrame([(dt.date(2024, 1, 1), 5.0, "01:00", 1.0, "02:00")], "day date, peak_load double, peak_time string, min_load double, min_time string")
+    days = spark.createDataFrame([(dt.date(2024, 1, 1), 5.0, "01:00", 1.0, "02:00")], DAILY)
     assert marts.display_days(days).first().asDict() == {
         "Date": dt.date(2024, 1, 1),
         "Peak Load": "5.0 MW",
@@ -141,9 +143,10 @@ def test_wall_clock_does_not_depend_on_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
         texts = [f"2020-10-25T{h:02d}:30:00.000001Z" for h in range(0, 4)] + ["1950-06-01T12:00:00.000000Z"]
-        df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").cast("timestamp").alias("i"))
+        df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("i", F.col("t").cast("timestamp"))
         wall = df.select("t", "i", utc_wall_clock(F.col("i"), df.schema["i"].dataType).alias("w"))
-        back = wall.select("t", "i", F.col("w").cast("string").alias("text"), utc_instant(F.col("w"), wall.schema["w"].dataType).alias("j"))
+        again = utc_instant(F.col("w"), wall.schema["w"].dataType)
+        back = wall.select("t", "i", F.col("w").cast("string").alias("text"), again.alias("j"))
         for row in back.select("t", "text", (F.col("i") == F.col("j")).alias("same")).collect():
             assert row.same and row.text[:19] == row.t[:19].replace("T", " ")
     finally:
