@@ -23,16 +23,28 @@ def instant_of(ts: str, step: str) -> Column:
     return F.window(ts, step)["end"]
 
 
+def _newest(ts: str, value: str, unique_times: bool, where: Column | None = None) -> Column:
+    time, sample = F.col(ts), F.struct(ts, value)
+    if where is not None:
+        time, sample = F.when(where, time), F.when(where, sample)
+    return F.max_by(value, time) if unique_times else F.max(sample)[value]
+
+
 def instant_values(
-    samples: DataFrame, series: Sequence[str], step: str, ts: str = "ts", value: str = "value"
+    samples: DataFrame,
+    series: Sequence[str],
+    step: str,
+    ts: str = "ts",
+    value: str = "value",
+    unique_times: bool = False,
 ) -> DataFrame:
-    """Newest sample of every series per instant; of equal times the larger value counts."""
-    newest = F.max(F.struct(ts, value))
-    return (
-        samples.groupBy(*series, instant_of(ts, step).alias(INSTANT))
-        .agg(newest.alias("newest"))
-        .select(*series, INSTANT, F.col(f"newest.{value}").alias("value"))
-    )
+    """Newest sample of every series per instant; of equal times the larger value counts.
+
+    Where a series has at most one sample per time, ``unique_times`` says so: the newest value is
+    then kept in a hash aggregate, about twice as fast as the ordered comparison of pairs.
+    """
+    newest = _newest(ts, value, unique_times)
+    return samples.groupBy(*series, instant_of(ts, step).alias(INSTANT)).agg(newest.alias("value"))
 
 
 def aggregate(how: str, value: str = "value") -> Column:
@@ -66,21 +78,22 @@ def used_percent(
     is_total: Column,
     ts: str = "ts",
     value: str = "value",
+    unique_times: bool = False,
 ) -> DataFrame:
     """``(1 - free / total) * 100`` of two gauges matched on series and instant, in one pass.
 
-    Series or instants that lack one of the gauges give no row.
+    Series or instants that lack one of the gauges give no row.  ``unique_times`` as in ``instant_values``.
     """
-    sample = F.struct(ts, value)
+    free, total = (_newest(ts, value, unique_times, gauge) for gauge in (is_free, is_total))
     return (
         samples.where(is_free | is_total)
         .groupBy(*series, instant_of(ts, step).alias(INSTANT))
-        .agg(F.max(F.when(is_free, sample)).alias("free"), F.max(F.when(is_total, sample)).alias("total"))
+        .agg(free.alias("free"), total.alias("total"))
         .where(F.col("free").isNotNull() & F.col("total").isNotNull())
         .select(
             *series,
             INSTANT,
-            ((F.lit(1.0) - ieee_divide(F.col(f"free.{value}"), F.col(f"total.{value}"))) * 100).alias("value"),
+            ((F.lit(1.0) - ieee_divide(F.col("free"), F.col("total"))) * 100).alias("value"),
         )
     )
 

@@ -183,6 +183,12 @@ def metric_label_filters(spark, sf_dir):
 
 @query
 def metric_latest(spark, sf_dir):
+    return metrics.instant_values(_labelled(spark, sf_dir), ["job", "instance"], "1 hour", unique_times=True)
+
+
+@query
+def metric_latest_any(spark, sf_dir):
+    """The form that also settles equal times."""
     return metrics.instant_values(_labelled(spark, sf_dir), ["job", "instance"], "1 hour")
 
 
@@ -195,7 +201,7 @@ def metric_avg_by_label(spark, sf_dir):
 @query
 def metric_sum_matched(spark, sf_dir):
     chosen = _labelled(spark, sf_dir).where(label_matches(F.col("labels"), "job", "click|view|purchase"))
-    latest = metrics.instant_values(chosen, ["job", "instance"], "1 hour")
+    latest = metrics.instant_values(chosen, ["job", "instance"], "1 hour", unique_times=True)
     return metrics.by_label(latest, [], "sum").withColumns(_rounded("value"))
 
 
@@ -203,8 +209,8 @@ def metric_sum_matched(spark, sf_dir):
 def targets_up(spark, sf_dir):
     """An instance is up unless its newest sample is an error."""
     up = F.when(F.col("job") == "error", 0.0).otherwise(1.0)
-    latest = metrics.instant_values(_labelled(spark, sf_dir).withColumn("value", up), ["instance"], "1 hour")
-    return metrics.by_label(latest, [], "sum")
+    states = _labelled(spark, sf_dir).withColumn("value", up)
+    return metrics.by_label(metrics.instant_values(states, ["instance"], "1 hour", unique_times=True), [], "sum")
 
 
 @query
@@ -235,7 +241,7 @@ def metric_rate_by_label(spark, sf_dir):
 
 @query
 def metric_topk(spark, sf_dir):
-    latest = metrics.instant_values(_labelled(spark, sf_dir), ["job", "instance"], "6 hours")
+    latest = metrics.instant_values(_labelled(spark, sf_dir), ["job", "instance"], "6 hours", unique_times=True)
     return metrics.top_series(latest, 10, ["job", "instance"])
 
 
@@ -243,7 +249,7 @@ def metric_topk(spark, sf_dir):
 def metric_ratio(spark, sf_dir):
     kept = _labelled(spark, sf_dir).where(label_matches_not(F.col("labels"), "job", "signup|error"))
     is_free, is_total = F.col("job") == "click", F.col("job") == "view"
-    used = metrics.used_percent(kept, ["instance"], "1 day", is_free, is_total)
+    used = metrics.used_percent(kept, ["instance"], "1 day", is_free, is_total, unique_times=True)
     return used.withColumns(_rounded("value"))
 
 

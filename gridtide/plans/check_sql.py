@@ -172,6 +172,7 @@ SQL: dict[str, str] = {
         SELECT event_id, event_type AS job, CAST(user_id AS VARCHAR) AS instance, value FROM events
         WHERE event_type IN ('click', 'view') AND user_id <> 7 AND NOT starts_with(CAST(user_id AS VARCHAR), '1')""",
     "metric_latest": f"WITH {_latest('1 hour', 'job, instance')} SELECT * FROM latest",
+    "metric_latest_any": f"WITH {_latest('1 hour', 'job, instance')} SELECT * FROM latest",
     "metric_avg_by_label": f"""
         WITH {_latest('1 hour', 'job, instance')}
         SELECT instant, job, ROUND(SUM(value), 4) / COUNT(*) AS value FROM latest GROUP BY instant, job""",

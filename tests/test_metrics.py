@@ -85,12 +85,16 @@ def test_newest_sample_counts(spark, at):
     assert sorted((row.instant, row.value) for row in got.collect()) == [(at(15), 4.0), (at(30), 8.0)]
     with pytest.raises(ValueError, match="median"):
         metrics.by_label(got, [], "median")
+    fast = metrics.instant_values(spark.createDataFrame(rows, SCHEMA), ["job"], "15 seconds", unique_times=True)
+    assert "HashAggregate" in plan_of(fast) and "SortAggregate" not in plan_of(fast)
 
 
-def test_used_percent_needs_both_gauges(spark, at):
+@pytest.mark.parametrize("unique", [False, True])
+def test_used_percent_needs_both_gauges(spark, at, unique):
     rows = [("free", at(1), 25.0), ("total", at(2), 100.0), ("free", at(70), 1.0), ("other", at(71), 2.0)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = metrics.used_percent(df, [], "1 minute", F.col("job") == "free", F.col("job") == "total")
+    is_free, is_total = F.col("job") == "free", F.col("job") == "total"
+    got = metrics.used_percent(df, [], "1 minute", is_free, is_total, unique_times=unique)
     assert [(row.instant, row.value) for row in got.collect()] == [(at(60), 75.0)]
 
 
