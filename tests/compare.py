@@ -13,6 +13,7 @@ KINDS = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "timestamp": "TIMESTAMP",
     "timestamp_ntz": "TIMESTAMP",
