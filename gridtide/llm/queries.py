@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import exact_dedup, packing, quality_rules, tokens
+from gridtide.llm import exact_dedup, packing, privacy, quality_rules, simhash, tokens
 from gridtide.llm.common import ROW_HASH, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,27 @@ def op1_bpe(spark, sf_dir):
     )
 
 
+@query
+def op2_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(_documents(spark, sf_dir))
+    return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+@query
+def op4_pii(spark, sf_dir):
+    found = privacy.personal_spans(_documents(spark, sf_dir))
+    counts = [
+        F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{kind}")
+        for kind in privacy.KINDS
+    ]
+    listed = privacy.listed("spans").alias("spans")
+    return found.select("doc_id", *counts, F.sha2(privacy.listed("base"), 256).alias("base_sha256"), listed)
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir)).drop(ROW_HASH)
