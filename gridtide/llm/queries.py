@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import exact_dedup, packing, privacy, quality_rules, simhash, tokens
+from gridtide.llm import exact_dedup, packing, privacy, quality_model, quality_rules, simhash, tokens, toxicity
 from gridtide.llm.common import ROW_HASH, read_table
+from gridtide.llm.labelled import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,6 +48,18 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def _decided(scores: DataFrame, held_out) -> DataFrame:
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+@query
+def op3_quality_model(spark, sf_dir):
+    held_out = fold(F.col("doc_id"), 5) == 0
+    scores = quality_model.quality_scores(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"), ~held_out)
+    return _decided(scores, held_out)
+
+
 def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
@@ -62,6 +75,13 @@ def op4_pii(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(privacy.listed("base"), 256).alias("base_sha256"), listed)
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    held_out = fold(F.col("doc_id"), 4) == 2
+    scores = toxicity.toxicity_scores(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"), ~held_out)
+    return _decided(scores, held_out)
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir)).drop(ROW_HASH)
