@@ -17,7 +17,7 @@ from gridtide.llm.labelled import training_sample
 
 TRAINING_ROWS = 20_000
 BUCKETS = 1 << 18
-_STEM = 5
+_STEM = 4
 _TERMS = re.compile(r"[^\W\d_]+").findall
 
 
