@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import exact_dedup, packing, privacy, quality_model, quality_rules, simhash, tokens, toxicity
+from gridtide.llm import exact_dedup, packing, privacy, quality_model, quality_rules, simhash, substrings, tokens, toxicity
 from gridtide.llm.common import ROW_HASH, read_table
 from gridtide.llm.labelled import fold
 
@@ -75,6 +75,12 @@ def op4_pii(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(privacy.listed("base"), 256).alias("base_sha256"), listed)
 
 
+@query
+def op5_substrings(spark, sf_dir):
+    done = substrings.without_repeats(_documents(spark, sf_dir))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_toxicity(spark, sf_dir):
     held_out = fold(F.col("doc_id"), 4) == 2
