@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import exact_dedup, packing, privacy, quality_model, quality_rules, simhash, substrings, tokens, toxicity
+from gridtide.llm import exact_dedup, packing, privacy, quality_model, quality_rules, simhash, substrings, suffixes, tokens, toxicity
 from gridtide.llm.common import ROW_HASH, read_table
 from gridtide.llm.labelled import fold
 
@@ -88,6 +88,12 @@ def op6_toxicity(spark, sf_dir):
     return _decided(scores, held_out)
 
 
+@query
+def op7_suffix_strings(spark, sf_dir):
+    done = suffixes.without_repeats(_documents(spark, sf_dir))
+    return done.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir)).drop(ROW_HASH)

@@ -64,9 +64,9 @@ class Rolling:
 def representatives(hashes: np.ndarray, reach: int) -> np.ndarray:
     """For every place, the place of the smallest of the next ``reach`` hashes, the leftmost of equal ones.
 
-    It depends on the hashes alone, so equal stretches choose alike.
+    It depends on the upper half of the hashes alone, so equal stretches choose alike wherever they lie.
     """
-    bits = max(1, int(len(hashes)).bit_length())
+    bits = 32
     least = (hashes >> np.uint64(bits) << np.uint64(bits)) | np.arange(len(hashes), dtype=np.uint64)
     have = 1
     while have < reach:
