@@ -24,6 +24,9 @@ _BYTE_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 _SPAN = "struct<start:bigint,end:bigint,value:string>"
 WINDOW = 40
+MIN_TEXTS = 5
+GENERALISE_AT = 0.7
+REMOVE_AT = 0.9
 TERM = r"\p{L}{4,}"
 
 
@@ -141,10 +144,10 @@ def _words_in(filter_words: list[int], bits: int) -> Column:
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame, text: str, bits: int = 18) -> DataFrame:
-    """``term``, ``df``: number of distinct texts with each of ``terms``.
+    """``term``, ``df``: number of rows with each of ``terms``.
 
-    A bitmap of 2**bits bits, whatever the number of terms, lets only likely words out of the scan; the
-    exact join and count follow.
+    A bitmap of 2**bits bits, whatever the number of terms, lets only likely words out of the scan; they
+    are counted in each task before they move, and the join leaves the exact terms.
     """
     bit = F.xxhash64("term").bitwiseAND(F.lit((1 << bits) - 1))
     cells = terms.select(F.shiftright(bit, 5).cast("int").alias("cell"), (bit % 32).cast("int").alias("bit")).distinct()
@@ -152,40 +155,42 @@ def _document_counts(docs: DataFrame, terms: DataFrame, text: str, bits: int = 1
     bitmap = [0] * (1 << (bits - 5))
     for row in set_bits:
         bitmap[row["cell"]] = row["mask"]
-    words = (
-        docs.select(whole_text(text).alias("_text"))
-        .withColumn("term", F.explode(_words_in(bitmap, bits)))
-        .select("term", F.sha2("_text", 256).alias("text_key"))
-    )
-    return words.join(terms, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    words = docs.select(whole_text(text).alias("_text")).select(F.explode(_words_in(bitmap, bits)).alias("term"))
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return counted.join(terms, "term")
 
 
 def disclosing_terms(
-    docs: DataFrame, marked: DataFrame, text: str = "text", min_texts: int = 3, generalise_at: float = 0.7
+    docs: DataFrame, marked: DataFrame, text: str = "text", min_texts: int = MIN_TEXTS, generalise_at: float = GENERALISE_AT
 ) -> DataFrame:
     """``entity``, ``term``, ``disclosure`` for words that reveal a protected value.
 
-    The disclosure is PMI(entity; term) / IC(entity), from counts of distinct texts: 1 means that the term occurs only
-    with the entity.  An entity in fewer than ``min_texts`` texts gives no estimate.  Pairs are first held
-    against a bound that needs no corpus count (a word is in at least as many texts as it is beside
-    entities), so the second pass counts only words that can still reach ``generalise_at``.
+    The disclosure is PMI(entity; term) / IC(entity), from counts of rows: 1 means that the term occurs only
+    with the entity.  A pair in fewer than ``min_texts`` different texts gives no estimate, however often those
+    are copied.  Pairs are first held against a bound that needs no corpus count (a word is in at
+    least as many rows as it is beside entities), so the second pass counts only words that can still
+    reach ``generalise_at``.
     """
-    entity = F.transform("base", lambda span: F.concat_ws(":", span["kind"], F.lower(span["value"])))
     with_any = marked.where("text_key IS NOT NULL")
-    entities = with_any.select("text_key", F.explode(entity).alias("entity")).distinct()
-    known = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity")).where(F.col("df_entity") >= min_texts)
-    beside = with_any.select("text_key", F.explode("near").alias("word")).select("text_key", "word.entity", "word.term").distinct()
-    pairs = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_both")).where(F.col("df_both") >= min_texts)
-    around = beside.select("text_key", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_near"))
-    # Distinct texts of the corpus; one number.
-    texts = docs.agg(F.count_distinct(F.xxhash64(whole_text(text)))).first()[0]
+    named = F.transform("base", lambda span: F.concat_ws(":", span["kind"], F.lower(span["value"])))
+    paired = F.transform("near", lambda word: F.struct(word["entity"].alias("entity"), word["term"].alias("term")))
+    alone = F.transform("near", lambda word: word["term"])
+
+    def per_row(items) -> DataFrame:
+        return with_any.select("text_key", F.explode(F.array_distinct(items)).alias("item"))
+
+    texts = F.count_distinct("text_key").alias("texts")
+    entities = per_row(named).groupBy(F.col("item").alias("entity")).agg(F.count(F.lit(1)).alias("df_entity"))
+    pairs = per_row(paired).select("text_key", "item.*").groupBy("entity", "term")
+    pairs = pairs.agg(F.count(F.lit(1)).alias("df_both"), texts).where(F.col("texts") >= min_texts).drop("texts")
+    around = per_row(alone).groupBy(F.col("item").alias("term")).agg(F.count(F.lit(1)).alias("df_near"))
+    total = F.lit(float(max(marked.count(), 1)))
 
     def disclosure(df: str) -> Column:
-        total = F.lit(float(max(texts, 1)))
         information = F.log(total / F.col("df_entity"))
         return F.when(information > 0, F.log(total * F.col("df_both") / (F.col("df_entity") * F.col(df))) / information)
 
-    possible = pairs.join(known, "entity").join(around, "term").where(disclosure("df_near") >= generalise_at)
+    possible = pairs.join(entities, "entity").join(around, "term").where(disclosure("df_near") >= generalise_at)
     possible = stored(possible.drop("df_near"), "pairs")
     counts = _document_counts(docs, possible.select("term").distinct(), text)
     scored = possible.join(counts, "term").withColumn("disclosure", disclosure("df"))
@@ -196,17 +201,17 @@ def personal_spans(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    min_texts: int = 3,
-    generalise_at: float = 0.7,
-    remove_at: float = 0.9,
+    min_texts: int = MIN_TEXTS,
+    generalise_at: float = GENERALISE_AT,
+    remove_at: float = REMOVE_AT,
 ) -> DataFrame:
     """Base spans and disclosing words of every row: ``doc_id``, ``ROW_HASH``, ``base``, ``spans``.
 
     ``spans`` holds the base spans and, as kind ``term`` or ``remove``, the words beside a protected value whose
     disclosure of it reaches ``generalise_at`` or ``remove_at``.  Positions are code points, ends exclusive.
 
-    A null or empty text has no spans.  Rows that repeat id and text get equal spans and count as one text in
-    the corpus; a null id keeps its row; an empty table gives no rows; other columns are not read.
+    A null or empty text has no spans.  Rows that repeat id and text get equal spans and are one text for
+    ``min_texts``; a null id keeps its row; an empty table gives no rows; other columns are not read.
     """
     marked = stored(with_spans(docs, doc_id, text), "marked")
     terms = disclosing_terms(docs, marked, text, min_texts, generalise_at)
