@@ -19,8 +19,8 @@ def label_is_not(labels: Column, name: str, value: str) -> Column:
 
 
 def label_matches(labels: Column, name: str, pattern: str) -> Column:
-    """The pattern has to match the whole label value."""
-    return label(labels, name).rlike(f"^(?:{pattern})$")
+    """The pattern has to match the whole label value, line breaks included."""
+    return label(labels, name).rlike(rf"\A(?s:{pattern})\z")
 
 
 def label_matches_not(labels: Column, name: str, pattern: str) -> Column:

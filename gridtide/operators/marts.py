@@ -40,16 +40,21 @@ def _measured(df: DataFrame, time: str, load: str) -> DataFrame:
     )
 
 
+def _by_minute(df: DataFrame, time: str, load: str) -> DataFrame:
+    """Highest and lowest load of each minute of each day."""
+    minutes = _measured(df, time, load).groupBy("day", "minute")
+    return minutes.agg(F.max("load").alias("high"), F.min("load").alias("low"))
+
+
 def daily_peak(df: DataFrame, time: str = "time", load: str = "load_actual") -> DataFrame:
     """Highest and lowest load of each day with their clock times; the earliest time wins a tie.
 
-    Extremes of (load, minute) are merged on the map side, so each task ships one row per day
-    however many rows a day has.
+    Rows first meet in hash aggregates by day and minute, so only at most 1,440 rows of a day are compared.
     """
-    best = F.max(F.struct("load", (-F.col("minute")).alias("late")))
-    least = F.min(F.struct("load", "minute"))
+    best = F.max(F.struct(F.col("high").alias("load"), (-F.col("minute")).alias("late")))
+    least = F.min(F.struct(F.col("low").alias("load"), "minute"))
     return (
-        _measured(df, time, load)
+        _by_minute(df, time, load)
         .groupBy("day")
         .agg(best.alias("best"), least.alias("least"))
         .select(
@@ -65,24 +70,32 @@ def daily_peak(df: DataFrame, time: str = "time", load: str = "load_actual") ->
 def daily_peak_ranked(df: DataFrame, time: str = "time", load: str = "load_actual") -> DataFrame:
     """``daily_peak`` by ranking the rows of each day from both ends.
 
-    Each ranking is cut to its first row right away, which Spark then also does before the
-    shuffle: again one row per day and task moves.
+    One scan: both rankings are over the at most 1,440 minutes of a day, after one shuffle by day.
     """
-    rows = _measured(df, time, load)
     by_day = Window.partitionBy("day")
-    peaks = rows.withColumn("rank", F.row_number().over(by_day.orderBy(F.col("load").desc(), "minute")))
-    lows = rows.withColumn("rank", F.row_number().over(by_day.orderBy("load", "minute")))
-    ends = (
-        peaks.where("rank = 1").withColumn("end", F.lit("peak"))
-        .unionByName(lows.where("rank = 1").withColumn("end", F.lit("min")))
+    ranked = _by_minute(df, time, load).withColumns(
+        {
+            "from_top": F.row_number().over(by_day.orderBy(F.col("high").desc(), "minute")),
+            "from_bottom": F.row_number().over(by_day.orderBy("low", "minute")),
+        }
     )
-    peak, low = F.col("end") == "peak", F.col("end") == "min"
-    clock = clock_text(F.col("minute"))
-    return ends.groupBy("day").agg(
-        F.max(F.when(peak, F.col("load"))).alias("peak_load"),
-        F.max(F.when(peak, clock)).alias("peak_time"),
-        F.max(F.when(low, F.col("load"))).alias("min_load"),
-        F.max(F.when(low, clock)).alias("min_time"),
+    peak, low = F.col("from_top") == 1, F.col("from_bottom") == 1
+    return (
+        ranked.where(peak | low)
+        .groupBy("day")
+        .agg(
+            F.max(F.when(peak, F.col("high"))).alias("peak_load"),
+            F.max(F.when(peak, F.col("minute"))).alias("_peak_minute"),
+            F.max(F.when(low, F.col("low"))).alias("min_load"),
+            F.max(F.when(low, F.col("minute"))).alias("_min_minute"),
+        )
+        .select(
+            "day",
+            "peak_load",
+            clock_text(F.col("_peak_minute")).alias("peak_time"),
+            "min_load",
+            clock_text(F.col("_min_minute")).alias("min_time"),
+        )
     )
 
 

@@ -47,17 +47,26 @@ def instant_values(
     return samples.groupBy(*series, instant_of(ts, step).alias(INSTANT)).agg(newest.alias("value"))
 
 
-def aggregate(how: str, value: str = "value") -> Column:
-    """``avg``, ``sum``, ``min``, ``max`` or ``count`` of the values, as ``value``."""
+def aggregate(how: str, value: str = "value", scale: int | None = None) -> Column:
+    """``avg``, ``sum``, ``min``, ``max`` or ``count`` of the values, as ``value``.
+
+    With ``scale``, the number of decimals that the values are declared to have, sums are exact decimals and
+    so the same in every summing order; without it they are sums of doubles.
+    """
     if how not in ("avg", "sum", "min", "max", "count"):
         raise ValueError(f"Unknown aggregate {how!r}.")
-    return getattr(F, how)(value).alias("value")
+    if scale is None or how not in ("avg", "sum"):
+        return getattr(F, how)(value).alias("value")
+    total = F.sum(F.col(value).cast(f"decimal(28,{scale})")).cast("double")
+    return (total / F.count(value) if how == "avg" else total).alias("value")
 
 
-def by_label(instants: DataFrame, labels: Sequence[str], how: str, count: str | None = None) -> DataFrame:
-    """Aggregate over series, per instant and label; ``count`` names a column for their number."""
+def by_label(
+    instants: DataFrame, labels: Sequence[str], how: str, count: str | None = None, scale: int | None = None
+) -> DataFrame:
+    """Aggregate over series, per instant and label; ``count`` names a column for their number, ``scale`` as in ``aggregate``."""
     counted = [F.count("value").alias(count)] if count else []
-    return instants.groupBy(INSTANT, *labels).agg(aggregate(how), *counted)
+    return instants.groupBy(INSTANT, *labels).agg(aggregate(how, scale=scale), *counted)
 
 
 def top_series(instants: DataFrame, k: int, series: Sequence[str]) -> DataFrame:

@@ -32,9 +32,8 @@ def _rounded(*names: str) -> dict[str, Column]:
     return {name: F.round(name, 6) for name in names}
 
 
-def _settled(mean: str, count: str) -> Column:
-    """The same mean in every summing order: values have two decimals, so their sum is put back on them."""
-    return F.round(F.col(mean) * F.col(count), 4) / F.col(count)
+# Fixed value: decimals of the samples.
+SCALE = 2
 
 
 # --- staging and features -------------------------------------------------------------------
@@ -194,8 +193,7 @@ def metric_latest_any(spark, sf_dir):
 
 @query
 def metric_avg_by_label(spark, sf_dir):
-    means = metrics.by_label(metric_latest(spark, sf_dir), ["job"], "avg", count="n")
-    return means.withColumn("value", _settled("value", "n")).drop("n")
+    return metrics.by_label(metric_latest(spark, sf_dir), ["job"], "avg", scale=SCALE)
 
 
 @query
@@ -261,10 +259,9 @@ def alert_sustained(spark, sf_dir):
 def _hourly_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A recorded rule: stored, because the alert on it reads it several times."""
     seen = metrics.instant_of("ts", "1 hour").alias(metrics.INSTANT)
-    hours = _labelled(spark, sf_dir).groupBy("job", seen)
-    means = hours.agg(F.avg("value").alias("value"), F.count("value").alias("n"))
+    means = _labelled(spark, sf_dir).groupBy("job", seen).agg(metrics.aggregate("avg", scale=SCALE))
     path = scratch_path(spark, "hourly")
-    write_parquet(means.withColumn("value", _settled("value", "n")).drop("n"), path)
+    write_parquet(means, path)
     return read_parquet(spark, path)
 
 
@@ -276,6 +273,16 @@ def alert_instants(spark, sf_dir):
     )
 
 
+@query
+def alert_busy(spark, sf_dir):
+    """Rates, their average by instance, the busy share, and an alert once it has held."""
+    path = scratch_path(spark, "busy")
+    write_parquet(busy_percent(spark, sf_dir), path)
+    return alerts.sustained(
+        read_parquet(spark, path), ["instance"], 99.95, "1 day", ts=metrics.INSTANT, max_gap="12 hours"
+    )
+
+
 @query
 def alerts_firing(spark, sf_dir):
     return alerts.firing_count(alert_instants(spark, sf_dir), ts=metrics.INSTANT)
@@ -288,32 +295,59 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.read_files(spark, sf_dir, events(spark, sf_dir).schema, "events.parquet")
 
 
-def _drained(spark: SparkSession, name: str, result: DataFrame) -> DataFrame:
-    return rules.drain(result, scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint"))
+def _scattered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as sixteen files that each span the whole time, in no order."""
+    path = scratch_path(spark, "scattered")
+    events(spark, sf_dir).repartition(16, F.xxhash64("event_id")).write.parquet(path)
+    return rules.read_files(spark, path, events(spark, sf_dir).schema)
+
+
+def _drained(spark: SparkSession, name: str, result: DataFrame, keys: list[str], mode: str = "update") -> DataFrame:
+    return rules.drain(result, scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint"), keys, mode)
+
+
+def _rolling(stream: DataFrame, window: str, step: str) -> DataFrame:
+    sampled = stream.select("ts", F.col("event_type").alias("job"), "value")
+    return rules.rolling_by_label(sampled, ["job"], window, step, "10 minutes", scale=SCALE)
 
 
 @query
 def stream_rolling_avg(spark, sf_dir):
-    stream = _event_stream(spark, sf_dir).select("ts", F.col("event_type").alias("job"), "value")
-    rolling = rules.rolling_by_label(stream, ["job"], "2 hours", "30 minutes", "10 minutes", count="n")
-    return _drained(spark, "rolling", rolling).withColumn("value", _settled("value", "n")).drop("n")
+    rolling = _rolling(_event_stream(spark, sf_dir), "2 hours", "30 minutes")
+    return _drained(spark, "rolling", rolling, ["instant", "job"])
+
+
+@query
+def stream_rolling_scattered(spark, sf_dir):
+    rolling = _rolling(_scattered_stream(spark, sf_dir), "2 hours", "30 minutes")
+    return _drained(spark, "rolling", rolling, ["instant", "job"])
 
 
 @query
 def stream_daily_peak(spark, sf_dir):
     staged = wide.stage(raw_load(_event_stream(spark, sf_dir)), EVENTS)
-    return _drained(spark, "daily", rules.daily_peak_stream(staged, "10 minutes"))
+    return _drained(spark, "daily", rules.daily_peak_stream(staged, "10 minutes"), ["day"])
+
+
+def _stream_alerts(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """One stream stores the hourly averages, a second finds the runs above the threshold in them."""
+    hourly = _drained(spark, "hourly", _rolling(stream, "1 hour", "1 hour"), ["instant", "job"])
+    recorded = scratch_path(spark, "recorded")
+    write_parquet(hourly, recorded)
+    followed = rules.read_files(spark, recorded, hourly.schema)
+    runs = rules.runs_stream(followed, ["job"], 45.0, "1 hour", "1 hour")
+    found = _drained(spark, "runs", runs, ["job", "active_since"], "complete")
+    return rules.alert_states(read_parquet(spark, recorded), found, ["job"], 45.0, "2 hours", "1 hour")
 
 
 @query
 def stream_alerts(spark, sf_dir):
-    """One stream stores the hourly averages, a second follows that table."""
-    stream = _event_stream(spark, sf_dir).select("ts", F.col("event_type").alias("job"), "value")
-    hourly = rules.rolling_by_label(stream, ["job"], "1 hour", "1 hour", "10 minutes", count="n")
-    recorded = scratch_path(spark, "hourly")
-    rules.drain(hourly, recorded, scratch_path(spark, "hourly-checkpoint"), by=["job"])
-    followed = rules.read_files(spark, recorded, hourly.schema).withColumn("value", _settled("value", "n"))
-    return _drained(spark, "alerts", rules.sustained_stream(followed, "job", 45.0, "2 hours", "1 hour"))
+    return _stream_alerts(spark, _event_stream(spark, sf_dir))
+
+
+@query
+def stream_alerts_scattered(spark, sf_dir):
+    return _stream_alerts(spark, _scattered_stream(spark, sf_dir))
 
 
 # --- sources, sinks, whole jobs -------------------------------------------------------------

@@ -126,7 +126,6 @@ hourly AS (
     FROM events GROUP BY ALL
 )"""
 _GAP = "AND instant - before <= INTERVAL '1 hour'"
-_CLOSED = "(SELECT date_trunc('millisecond', MAX(ts)) - INTERVAL '10 minutes' FROM events)"
 
 SQL: dict[str, str] = {
     "staging_load": f"WITH {_WIDE} SELECT {_SEVEN} FROM wide",
@@ -207,21 +206,18 @@ SQL: dict[str, str] = {
     "alerts_firing": f"""
         WITH {_HOURLY}, {_runs('hourly', 'instant', 'instant', 45.0, '2 hours', _GAP)}
         SELECT instant, COUNT(*) AS firing FROM alerts WHERE state = 'firing' GROUP BY instant""",
-    "stream_rolling_avg": f"""
+    "stream_rolling_avg": """
         WITH seen AS (
             SELECT event_type AS job, value,
                 time_bucket(INTERVAL '30 minutes', ts) + i * INTERVAL '30 minutes' AS instant
             FROM events, range(1, 5) AS offsets(i))
-        SELECT instant, job, ROUND(SUM(value), 4) / COUNT(*) AS value FROM seen
-        WHERE instant <= {_CLOSED} GROUP BY instant, job""",
-    "stream_daily_peak": f"""
-        WITH {_daily()} SELECT * FROM daily
-        WHERE day + INTERVAL 1 DAY <= (
-            SELECT date_trunc('millisecond', MAX(time)) - INTERVAL '10 minutes'
-            FROM wide WHERE load_actual IS NOT NULL)""",
-    "stream_alerts": f"""
-        WITH {_HOURLY}, {_runs('hourly', 'instant', 'instant', 45.0, '2 hours', _GAP)}
-        SELECT * FROM alerts WHERE instant <= {_CLOSED}""",
+        SELECT instant, job, ROUND(SUM(value), 4) / COUNT(*) AS value FROM seen GROUP BY instant, job""",
+    "stream_daily_peak": f"WITH {_daily()} SELECT * FROM daily",
+    "alert_busy": f"""
+        WITH {_rates('2 days', '12 hours', 4, 'job, instance', "event_type IN ('click', 'view')")}, busy AS (
+            SELECT instance AS job, instant, ROUND(100 - AVG(value) * 100, 6) AS value FROM rates GROUP BY instant, instance
+        ), {_runs('busy', 'instant', 'instant', 99.95, '1 day', "AND instant - before <= INTERVAL '12 hours'")}
+        SELECT job AS instance, instant, value, active_since, state FROM alerts""",
     "csv_staging": f"WITH {_WIDE} SELECT {_SEVEN} FROM wide",
     "csv_inferred": f"WITH {_WIDE} SELECT {_SEVEN} FROM wide",
     "parquet_export": """
@@ -247,3 +243,5 @@ SQL: dict[str, str] = {
             CASE WHEN n <= training THEN 'train' ELSE 'test' END AS part
         FROM numbered""",
 }
+SQL["stream_alerts"] = SQL["stream_alerts_scattered"] = SQL["alert_instants"]
+SQL["stream_rolling_scattered"] = SQL["stream_rolling_avg"]

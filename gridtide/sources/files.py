@@ -23,7 +23,11 @@ def read_csv(spark: SparkSession, spec: SourceSpec, infer: bool = False) -> Data
     header = reader.csv(spec.raw_file).columns
     spec.require(header)
     if infer:
-        return reader.option("inferSchema", True).csv(spec.raw_file)
+        found = reader.option("inferSchema", True).csv(spec.raw_file)
+        # A guess from whole numbers, no values or one odd value must not change the declared type.
+        return found.withColumns(
+            {name: F.col(name).cast(spec.raw_type(name)) for name in spec.raw_columns if name != spec.timestamp}
+        )
     schema = T.StructType([T.StructField(name, spec.raw_type(name)) for name in header])
     return reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(schema).csv(spec.raw_file)
 
@@ -39,14 +43,15 @@ def read_parquet(spark: SparkSession, path: str, made_by: str | None = None) ->
         raise FileNotFoundError(f"Parquet table not found: {path}.{hint}") from err
 
 
-def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> int:
+def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> int:
     """Replace the zstd Parquet table at ``path``; the row count comes from the write itself.
 
-    ``sort_by`` writes range-ordered files, so that min/max statistics prune later reads.
+    ``sort_by`` writes range-ordered files, so that min/max statistics prune later reads;
+    ``partition_by`` a folder per value, so that a filter on it leaves out whole folders.
     """
     if sort_by:
         df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    counted.write.mode("overwrite").partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     return int(seen.get["rows"])

@@ -6,25 +6,23 @@ are pushed to the database by Spark.
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def jdbc_options(
     url: str,
     table: str,
+    partitions: int,
     driver: str | None = None,
     partition_column: str | None = None,
     bounds: tuple[object, object] | None = None,
-    partitions: int = 1,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
-    """Reader options; a partition column with bounds spreads the read over tasks."""
+    """Reader options; a partition column with bounds spreads the read over ``partitions`` tasks."""
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     if driver:
         options["driver"] = driver
-    if (partition_column is None) != (bounds is None):
+    if (partition_column is None) != (bounds is None) or (partitions > 1 and bounds is None):
         raise ValueError("A split read needs both a partition column and its bounds.")
     if partition_column is not None and bounds is not None:
         options.update(
@@ -36,16 +34,5 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **how: object) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(url, table, **how)).load()
-
-
-def read_legacy_sqlite(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One table of a SQLite file, opened read-only."""
-    return read_jdbc(spark, f"jdbc:sqlite:file:{path}?mode=ro", table, driver="org.sqlite.JDBC")
-
-
-def attach_sqlite(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Older name of ``read_legacy_sqlite``."""
-    warnings.warn("attach_sqlite is deprecated; use read_legacy_sqlite.", DeprecationWarning, stacklevel=2)
-    return read_legacy_sqlite(spark, path, table)
+def read_jdbc(spark: SparkSession, url: str, table: str, partitions: int, **how: object) -> DataFrame:
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, partitions, **how)).load()

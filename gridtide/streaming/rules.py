@@ -1,52 +1,81 @@
 """Rules kept up to date over a stream.
 
-All of them emit in append mode: a result appears once the watermark has passed its window, and
-never changes after that.  The newest windows of a drained source therefore stay open.
+They emit in update mode: the result of a window appears with its first rows and is replaced while more arrive,
+until the watermark has passed it.  A drained source so ends with the same rows as a batch job.
 Times come out on the UTC wall clock, whether they went in as instants or as zone-less times.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from gridtide.functions.temporal import clock_text, minute_of_day, seconds_of, type_of, utc_instant, utc_wall_clock
+from gridtide.functions.temporal import clock_text, duration, minute_of_day, seconds_of, type_of, utc_instant, utc_wall_clock
 from gridtide.operators.alerts import FIRING, PENDING, is_above
 from gridtide.operators.metrics import INSTANT, aggregate
 
+_BATCH = "_batch"
+
 
 def read_files(
-    spark: SparkSession, path: str, schema: T.StructType, name_glob: str | None = None, files_per_batch: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType, name_glob: str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Stream of Parquet files as they appear below ``path``."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    """Stream of Parquet files as they appear below ``path``.
+
+    Without ``files_per_batch`` all files that wait are one batch, so a backlog does not depend on the
+    order in which files are listed.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     return reader.parquet(path)
 
 
-def drain(result: DataFrame, out: str, checkpoint: str, by: Sequence[str] = ()) -> DataFrame:
-    """Process what is available, then read the output table.  Both paths are on shared storage.
+class LateRowsDropped(RuntimeError):
+    """Rows came after the watermark had passed their window."""
+
+
+def drain(result: DataFrame, out: str, checkpoint: str, keys: Sequence[str], mode: str = "update") -> DataFrame:
+    """Process what is available, then read the newest version of every row.  Both paths are on shared storage.
 
-    With ``by``, the rows of one batch that agree in these columns go to one file, so a stream
-    that follows the table gets the rows of a label in the order of the batches.
+    ``keys`` name a row of the result.  Sessions cannot be updated in place: they are drained in ``complete`` mode,
+    where every batch holds the whole result.  Each batch writes the rows it changed to a folder of its own, which
+    a repeated batch writes again.  Rows dropped as too late stop the job with ``LateRowsDropped``: they would be
+    missing without a word.
     """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{_BATCH}={number}")
+
     query = (
-        (result.repartition(*by) if by else result)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
+        result.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .foreachBatch(write)
         .start()
     )
     query.awaitTermination()
-    return result.sparkSession.read.schema(result.schema).parquet(out)
+    dropped = sum(
+        operator.numRowsDroppedByWatermark for progress in query.recentProgress for operator in progress.stateOperators
+    )
+    if dropped:
+        raise LateRowsDropped(f"{dropped} rows came too late for their windows.")
+    spark = result.sparkSession
+    schema = T.StructType([*result.schema.fields, T.StructField(_BATCH, T.LongType())])
+    if not any(progress.numInputRows for progress in query.recentProgress):
+        return spark.createDataFrame([], result.schema)
+    versions = spark.read.schema(schema).parquet(out)
+    if mode == "complete":
+        last = query.lastProgress.batchId
+        return versions.where(F.col(_BATCH) == last).drop(_BATCH)
+    others = [name for name in result.columns if name not in keys]
+    newest = versions.groupBy(*keys).agg(*[F.max_by(F.struct(*others), _BATCH).alias("_row")])
+    return newest.select(*[F.col(name) if name in keys else F.col("_row")[name].alias(name) for name in result.columns])
 
 
 def rolling_by_label(
@@ -59,10 +88,11 @@ def rolling_by_label(
     count: str | None = None,
     ts: str = "ts",
     value: str = "value",
+    scale: int | None = None,
 ) -> DataFrame:
     """Aggregate of a sliding window by label, at every instant of the step.
 
-    ``count`` names a column for the number of samples in the window.
+    ``count`` names a column for the number of samples in the window; ``scale`` as in ``metrics.aggregate``.
     """
     counted = {count: F.count(value)} if count else {}
     end = utc_wall_clock(F.col("seen.end"), T.TimestampType())
@@ -70,13 +100,13 @@ def rolling_by_label(
         samples.withColumn("_event", utc_instant(F.col(ts), type_of(samples, ts)))
         .withWatermark("_event", late)
         .groupBy(F.window("_event", window, step).alias("seen"), *labels)
-        .agg(aggregate(how, value), *[col.alias(name) for name, col in counted.items()])
+        .agg(aggregate(how, value, scale), *[col.alias(name) for name, col in counted.items()])
         .select(end.alias(INSTANT), *labels, "value", *counted)
     )
 
 
 def daily_peak_stream(df: DataFrame, late: str, time: str = "time", load: str = "load_actual") -> DataFrame:
-    """Streaming form of the daily peak mart; a day is written when it is over."""
+    """Streaming form of the daily peak mart; a day changes until it is over."""
     dtype = type_of(df, time)
     minute = minute_of_day(utc_wall_clock(F.col(time), dtype))
     day = F.to_date(utc_wall_clock(F.col("seen.start"), T.TimestampType()))
@@ -99,42 +129,40 @@ def daily_peak_stream(df: DataFrame, late: str, time: str = "time", load: str =
     )
 
 
-def sustained_stream(instants: DataFrame, label: str, threshold: float, hold: str, step: str) -> DataFrame:
-    """Alert on the value of a label staying above the threshold for ``hold``.
+def runs_stream(instants: DataFrame, labels: Sequence[str], threshold: float, step: str, late: str) -> DataFrame:
+    """Unbroken runs of instants above the threshold: labels, ``active_since``, ``last_seen``.
+
+    ``instants`` is a stream of one value per instant and labels.  A run is a session whose gap is just over one
+    step, so instants may arrive in any order within ``late``: a late one joins the runs beside it.
+    In append mode the state of a run ends when the watermark has passed it.
+    """
+    gap = F.lit(f"{seconds_of(step) * 1_000_000 + 1} microseconds")
+    dtype = type_of(instants, INSTANT)
+    return (
+        instants.where(is_above(F.col("value"), threshold))
+        .withColumn("_event", utc_instant(F.col(INSTANT), dtype))
+        .withWatermark("_event", late)
+        .groupBy(F.session_window("_event", gap).alias("run"), *labels)
+        .agg(F.max("_event").alias("last"))
+        .select(
+            *labels,
+            utc_wall_clock(F.col("run.start"), T.TimestampType()).alias("active_since"),
+            utc_wall_clock(F.col("last"), T.TimestampType()).alias("last_seen"),
+        )
+    )
+
+
+def alert_states(instants: DataFrame, runs: DataFrame, labels: Sequence[str], threshold: float, hold: str, step: str) -> DataFrame:
+    """The alerts of stored instants, from the stored runs that hold them.
 
-    ``instants`` is a stream of one value per instant and label, such as a stored
-    ``rolling_by_label`` table: aggregation comes first, so a crowded label reaches its state as
-    one row per instant.  Instants of a label have to arrive in order, as they do from a table
-    stored by label.  The state of a label is the start and the newest instant of its current run.
+    A run is spread over its instants, so rows meet by equality of labels and instant.  A run that was part of a
+    longer one before late instants joined them is told apart by its later start.
     """
-    above = instants.where(is_above(F.col("value"), threshold)).select(label, INSTANT, "value")
-    instant_type = above.schema[INSTANT].dataType
-    micros = T.LongType()
-    step_micros, hold_micros = seconds_of(step) * 1_000_000, seconds_of(hold) * 1_000_000
-    out = T.StructType(
-        [
-            T.StructField(label, above.schema[label].dataType),
-            T.StructField(INSTANT, instant_type),
-            T.StructField("value", T.DoubleType()),
-            T.StructField("active_since", instant_type),
-            T.StructField("state", T.StringType()),
-        ]
+    spread = runs.withColumn(INSTANT, F.explode(F.sequence("active_since", "last_seen", duration(step))))
+    starts = spread.groupBy(*labels, INSTANT).agg(F.min("active_since").alias("active_since"))
+    fires = F.col(INSTANT) >= F.col("active_since") + duration(hold)
+    return (
+        instants.where(is_above(F.col("value"), threshold))
+        .join(starts, [*labels, INSTANT])
+        .select(*labels, INSTANT, "value", "active_since", F.when(fires, FIRING).otherwise(PENDING).alias("state"))
     )
-    run_state = T.StructType([T.StructField("active_since", micros), T.StructField("newest", micros)])
-
-    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(INSTANT, ignore_index=True)
-        at = rows[INSTANT].astype("datetime64[us]").astype("int64")
-        since, newest = state.get if state.exists else (None, None)
-        gap = at.diff()
-        if newest is not None:
-            gap.iloc[0] = at.iloc[0] - newest
-        starts = at.where(gap != step_micros)
-        active = starts.ffill() if since is None else starts.ffill().fillna(since)
-        active = active.astype("int64")
-        state.update((int(active.iloc[-1]), int(at.iloc[-1])))
-        rows["active_since"] = active.astype("datetime64[us]")
-        rows["state"] = (at - active >= hold_micros).map({True: FIRING, False: PENDING})
-        yield rows[out.names]
-
-    return above.groupBy(label).applyInPandasWithState(follow, out, run_state, "append", GroupStateTimeout.NoTimeout)

@@ -4,6 +4,8 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as driver
+from gridtide.plans.catalog import QUERIES
+from gridtide.plans.check_sql import SQL
 
 
 @pytest.fixture(scope="module")
@@ -11,13 +13,14 @@ def connection(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_result(spark, sf_dir, connection, name):
-    assert differences(driver.queries()[name](spark, sf_dir), driver.oracle_sql()[name], connection) == []
+    assert differences(QUERIES[name](spark, sf_dir), SQL[name], connection) == []
 
 
 def test_only_training_goes_unchecked():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"train_holdout"}
+    assert set(QUERIES) - set(SQL) == {"train_holdout"}
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

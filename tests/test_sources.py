@@ -12,42 +12,55 @@ from gridtide.sources import jdbc, tables
 from gridtide.sources.files import read_csv, read_parquet, write_parquet
 from gridtide.sources.spec import SourceSpec, power_load_source
 
-COLUMNS = (("utc_timestamp", "time"), ("value", "load_actual"))
+COLUMNS = (("measured_at", "time"), ("megawatts", "load_actual"))
 
 
 def source(tmp_path, text, name="in.csv"):
     path = tmp_path / name
     path.write_text(text, encoding="utf-8")
-    return SourceSpec("load", str(path), "utc_timestamp", COLUMNS)
+    return SourceSpec("load", str(path), "measured_at", COLUMNS)
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 @pytest.mark.parametrize("infer", [False, True])
-@pytest.mark.parametrize("stamp", ["2026-01-01 05:00:00", "2026-01-01T05:00:00Z"])
+@pytest.mark.parametrize("stamp", ["2031-07-05 05:00:00", "2031-07-05T05:00:00Z"])
 def test_times_are_utc(spark, tmp_path, zone, infer, stamp):
-    spec = source(tmp_path, f"other,utc_timestamp,value\nx,{stamp},10\ny,,11\n")
+    spec = source(tmp_path, f"other,measured_at,megawatts\nx,{stamp},10\ny,,11\n")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         rows = stage(read_csv(spark, spec, infer), spec).select(F.col("time").cast("string"), "load_actual").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert [tuple(row) for row in rows] == [("2026-01-01 05:00:00", 10)]
+    assert [tuple(row) for row in rows] == [("2031-07-05 05:00:00", 10)]
 
 
 def test_csv_reads_only_mapped_columns(spark, tmp_path):
-    spec = source(tmp_path, "a,utc_timestamp,b,value\n1,2026-01-01 00:00:00,not a number,10\n")
+    spec = source(tmp_path, "a,measured_at,b,megawatts\n1,2031-07-05 00:00:00,not a number,10\n")
     staged = stage(read_csv(spark, spec), spec)
-    assert "ReadSchema: struct<utc_timestamp:timestamp,value:double>" in plan_of(staged)
+    assert "ReadSchema: struct<measured_at:timestamp,megawatts:double>" in plan_of(staged)
 
 
 def test_csv_errors(spark, tmp_path):
-    with pytest.raises(ValueError, match=r"lacks the columns \['value'\]"):
-        read_csv(spark, source(tmp_path, "utc_timestamp,val\n2026-01-01 00:00:00,10\n"))
-    bad = source(tmp_path, "utc_timestamp,value\n2026-01-01 00:00:00,ten\n", "bad.csv")
+    with pytest.raises(ValueError, match=r"lacks the columns \['megawatts'\]"):
+        read_csv(spark, source(tmp_path, "measured_at,val\n2031-07-05 00:00:00,10\n"))
+    bad = source(tmp_path, "measured_at,megawatts\n2031-07-05 00:00:00,ten\n", "bad.csv")
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         stage(read_csv(spark, bad), bad).collect()
 
 
+def test_inferred_columns_get_the_declared_types(spark, tmp_path):
+    """Whole numbers, an empty column and a word among numbers."""
+    spec = source(tmp_path, "measured_at,megawatts\n2031-07-05 00:00:00,10\n2031-07-05 01:00:00,\n")
+    staged = stage(read_csv(spark, spec, infer=True), spec)
+    assert dict(staged.dtypes)["load_actual"] == "double"
+    assert sorted(row.load_actual or 0 for row in staged.collect()) == [0, 10.0]
+    empty = source(tmp_path, "measured_at,megawatts\n2031-07-05 00:00:00,\n", "empty.csv")
+    assert stage(read_csv(spark, empty, infer=True), empty).first().load_actual is None
+    bad = source(tmp_path, "measured_at,megawatts\n2031-07-05 00:00:00,10\n2031-07-05 01:00:00,n/a\n", "bad.csv")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        stage(read_csv(spark, bad, infer=True), bad).collect()
+
+
 def test_spec():
     spec = power_load_source("raw.csv")
     assert [clean for _, clean in spec.columns] == [
@@ -80,29 +93,24 @@ def test_tables(spark, tmp_path):
     tables.drop_table(spark, "gt_table")
     assert not spark.catalog.tableExists("gt_table")
     for name in ("1x", "a-b", "x;drop", "ä", ""):
-        with pytest.raises(ValueError, match="identifier"):
+        with pytest.raises(ValueError, match="plain table name"):
             tables.drop_table(spark, name)
 
 
 def test_sql_and_bounded_fetch(spark):
     df = tables.run_sql(spark, "SELECT id FROM {t} WHERE id < :top", {"t": spark.range(10)}, top=3)
-    assert list(tables.fetch_frame(df)["id"]) == [0, 1, 2]
+    assert list(tables.fetch_frame(df, max_rows=3)["id"]) == [0, 1, 2]
     with pytest.raises(ValueError, match="more than 2"):
         tables.fetch_frame(df, max_rows=2)
 
 
 def test_jdbc_options():
-    plain = jdbc.jdbc_options("jdbc:x:y", "t")
+    plain = jdbc.jdbc_options("jdbc:x:y", "t", 1)
     assert plain == {"url": "jdbc:x:y", "dbtable": "t", "fetchsize": "10000"}
-    split = jdbc.jdbc_options("u", "t", "d.D", "id", (0, 90), 9)
+    split = jdbc.jdbc_options("u", "t", 9, "d.D", "id", (0, 90))
     assert split["driver"] == "d.D" and split["numPartitions"] == "9" and split["upperBound"] == "90"
     with pytest.raises(ValueError, match="bounds"):
-        jdbc.jdbc_options("u", "t", partition_column="id")
-
-
-def test_old_sqlite_name_warns(spark):
-    with pytest.warns(DeprecationWarning), pytest.raises(Exception, match="org.sqlite.JDBC"):
-        jdbc.attach_sqlite(spark, "/tmp/none.db", "t")
+        jdbc.jdbc_options("u", "t", 1, partition_column="id")
 
 
 def test_scratch_folder_comes_from_the_session(spark):
