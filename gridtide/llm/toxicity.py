@@ -58,14 +58,17 @@ def fit(
     bags: list[np.ndarray],
     labels: np.ndarray,
     factors: int = 4,
-    epochs: int = 12,
+    epochs: int = 60,
     batch: int = 512,
     rate: float = 0.3,
     ridge: float = 2e-4,
     least_rows: int = 3,
+    least_z: float = 5.0,
 ) -> Machine:
-    """Adagrad on the logistic loss; the classes weigh the same.  Terms in fewer than ``least_rows`` rows stay at zero.
+    """Adagrad on the logistic loss.
 
+    Terms in fewer than ``least_rows`` rows, and terms whose shares in the two classes differ by less than
+    ``least_z`` standard errors, stay at zero, so that the many neutral words of a long text add no noise.
     One class or no rows give the smoothed share of ones for every text.
     """
     rng = np.random.default_rng(11)
@@ -74,12 +77,16 @@ def fit(
     weight, factor = np.zeros(BUCKETS), np.zeros((BUCKETS, factors))
     if count == 0 or labels.min() == labels.max():
         return Machine(float(np.log(share / (1 - share))), weight, factor)
+    row_of = np.repeat(np.arange(count), [len(bag) for bag in bags])
     seen = np.bincount(np.concatenate(bags), minlength=BUCKETS)
-    often = seen >= least_rows
+    ones = np.bincount(np.concatenate(bags), labels[row_of], BUCKETS)
+    positive, negative = labels.sum(), count - labels.sum()
+    share_seen = seen / count
+    error = np.sqrt(np.maximum(share_seen * (1 - share_seen), 1e-12) * (1 / positive + 1 / negative))
+    often = (seen >= least_rows) & (np.abs(ones / positive - (seen - ones) / negative) >= least_z * error)
     bags = [bag[often[bag]] for bag in bags]
     factor[often] = rng.normal(0, 0.01, (int(often.sum()), factors))
     machine = Machine(float(np.log(share / (1 - share))), weight, factor)
-    worth = np.where(labels > 0, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
     past_weight, past_factor, past_bias = np.full(BUCKETS, 1e-2), np.full((BUCKETS, factors), 1e-2), 1e-2
     for _ in range(epochs):
         order = rng.permutation(count)
@@ -88,7 +95,7 @@ def fit(
             sizes = np.array([len(bags[i]) for i in chosen])
             flat = np.concatenate([bags[i] for i in chosen])
             row = np.repeat(np.arange(len(chosen)), sizes)
-            error = (machine.score(flat, sizes) - labels[chosen]) * worth[chosen] / len(chosen)
+            error = (machine.score(flat, sizes) - labels[chosen]) / len(chosen)
             places, back = np.unique(flat, return_inverse=True)
             step = np.bincount(back, error[row], len(places)) + ridge * weight[places] / count
             past_weight[places] += step**2
