@@ -63,13 +63,18 @@ class OrderedBlocks:
 
     @classmethod
     def fit(cls, df: DataFrame, order_by: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> OrderedBlocks:
-        """One count and one sampled pass over the order columns; one key per cut comes back."""
+        """One count and one sampled pass over the order columns; one key per cut comes back.
+
+        Only a table of at most one row has no cuts.
+        """
         if not order_by:
             raise ValueError("An order needs at least one column.")
         keyed = df.select(_key(order_by).alias(_KEY))
         key_type = keyed.schema[_KEY].dataType
         rows = keyed.count()
-        blocks = min(math.ceil(rows / rows_per_block), MAX_BLOCKS)
+        # The same plan at every size: as many blocks as tasks can run, more where rows ask for it.
+        parallel = max(2, df.sparkSession.sparkContext.defaultParallelism)
+        blocks = min(max(math.ceil(rows / rows_per_block), parallel), MAX_BLOCKS, rows)
         if blocks <= 1:
             return cls(tuple(order_by), key_type, (), frozenset())
         wanted = min(blocks * 100, _MAX_SAMPLE)
