@@ -116,12 +116,15 @@ def repeated_windows(texts: DataFrame, firsts: DataFrame, window: int = WINDOW,
     for size in levels(window, first):
         found = stored(_candidates(texts, notes, window, size, shorter), "windows")
         counted = found.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "row", "place")).alias("first"))
-        again = found.join(counted.where("times > 1"), ["hash", "more"])
+        # Stored first: a join of two plain shuffles lets Spark split a window that very many rows hold.
+        twice = stored(counted.where("times > 1"), "twice")
+        again = found.join(twice, ["hash", "more"])
         if size == window:
             again = again.where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
         # Bounded by the words of one text.
         grouped = stored(again.groupBy("row").agg(F.sort_array(F.collect_list("place")).alias("alive")), "alive")
         discard(found)
+        discard(twice)
         notes, shorter = grouped, size
     return notes.withColumnRenamed("alive", "places")
 

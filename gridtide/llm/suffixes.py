@@ -186,14 +186,15 @@ def _one_by_one(strings: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names=["hash", "more", "row", "low"])
 
     found = stored(strings.mapInArrow(run, "hash long, more long, row long, low long"), "strings")
-    again = found.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    again = stored(found.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "twice")
     return found.join(again, ["hash", "more"]).select("row", "low", F.col("low").alias("high"))
 
 
 def repeated_strings(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, large: int = LARGE_GROUP) -> DataFrame:
     """``row``, ``runs`` (of starts, first and last) of strings of ``length`` bytes that start elsewhere too."""
     anchors = stored(_anchor_table(texts, firsts.where("first").select("row"), length, anchor), "anchors")
-    counted = anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    # Stored first: a join of two plain shuffles lets Spark split an anchor that very many rows hold.
+    counted = stored(anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "twice")
     alive = anchors.join(counted, "hash").groupBy("row").agg(F.collect_list(F.struct("place", "times")).alias("alive"))
     strings = stored(_strings(texts, alive, length, anchor), "contexts")
     discard(anchors)
