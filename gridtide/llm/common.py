@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     The planner then knows its size, so a join with it is broadcast only below Spark's own threshold.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -34,6 +36,16 @@ def discard(table: DataFrame) -> None:
         path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose frames are gone.
+
+    It does so when the driver collects its garbage, which a long chain of stored steps with a quiet
+    driver may not reach before the disks of the executors fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def whole_text(name: str = "text") -> Column:
     """The text of a row; a null text is empty."""
     return F.coalesce(F.col(name), F.lit(""))

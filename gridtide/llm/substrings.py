@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import discard, stored
+from gridtide.llm.common import discard, release, stored
 from gridtide.llm.windows import Rolling, beside, bucketed_texts, first_copies, joined_bytes, representatives
 
 WINDOW = 20
@@ -117,14 +117,17 @@ def repeated_windows(texts: DataFrame, firsts: DataFrame, window: int = WINDOW,
         found = stored(_candidates(texts, notes, window, size, shorter), "windows")
         counted = found.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "row", "place")).alias("first"))
         # Stored first: a join of two plain shuffles lets Spark split a window that very many rows hold.
-        twice = stored(counted.where("times > 1"), "twice")
+        twice = stored(counted.where("times > 1").select("hash", "more", "first.row", "first.place"), "twice")
+        twice = twice.withColumnsRenamed({"row": "first_row", "place": "first_place"})
         again = found.join(twice, ["hash", "more"])
         if size == window:
-            again = again.where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
+            again = again.where("row <> first_row OR place <> first_place")
         # Bounded by the words of one text.
         grouped = stored(again.groupBy("row").agg(F.sort_array(F.collect_list("place")).alias("alive")), "alive")
         discard(found)
         discard(twice)
+        del counted, again
+        release(texts.sparkSession)
         notes, shorter = grouped, size
     return notes.withColumnRenamed("alive", "places")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import discard, stored
+from gridtide.llm.common import discard, release, stored
 from gridtide.llm.windows import Rolling, beside, bucketed_texts, first_copies, joined_bytes, representatives, runs_of
 
 LENGTH = 200
@@ -198,6 +198,8 @@ def repeated_strings(texts: DataFrame, firsts: DataFrame, length: int = LENGTH,
     alive = anchors.join(counted, "hash").groupBy("row").agg(F.collect_list(F.struct("place", "times")).alias("alive"))
     strings = stored(_strings(texts, alive, length, anchor), "contexts")
     discard(anchors)
+    del counted, alive
+    release(texts.sparkSession)
     few = _collections(strings.where(F.col("times") <= large), length)
     many = _one_by_one(strings.where(F.col("times") > large), length)
     found = few.unionByName(many)

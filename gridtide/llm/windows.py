@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import whole_text
+from gridtide.llm.common import release, whole_text
 from gridtide.llm.tokens import chunks
 from gridtide.session import scratch_path
 
@@ -90,7 +90,8 @@ def bucketed_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     ).withColumn("digest", F.unhex(F.sha2("text", 256)))
     name = f"texts_{uuid.uuid4().hex[:12]}"
     writer = source.repartition(buckets, "row").write.format("parquet").bucketBy(buckets, "row")
-    writer.option("path", scratch_path(spark, "texts")).saveAsTable(name)
+    writer.option("path", scratch_path(spark, "texts")).option("compression", "zstd").saveAsTable(name)
+    release(spark)
     return spark.table(name)
 
 
