@@ -41,11 +41,19 @@ def run_training(spark, specs: Sequence[SourceSpec], layout: stages.Layout, spec
         logger.info("%s: best %s, cross-validated MAE %.3f", source.name, result.best, result.cv_mae)
 
 
+def read_training(path: str) -> TrainingSpec:
+    """Training settings from a JSON file; what it leaves out keeps its default."""
+    with open(path, encoding="utf-8") as file:
+        given = json.load(file)
+    return TrainingSpec(**{name: tuple(value) if isinstance(value, list) else value for name, value in given.items()})
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="gridtide", description=__doc__)
     parser.add_argument("stage", choices=[*STAGES, "training"])
     parser.add_argument("--sources", required=True, help="JSON file of source declarations")
     parser.add_argument("--root", required=True, help="root of the tables on shared storage")
+    parser.add_argument("--training", help="JSON file of training settings")
     chosen = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     run = STAGES.get(chosen.stage, run_training)

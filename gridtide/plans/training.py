@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from gridtide.operators.ordered import ROWS_PER_BLOCK, OrderedBlocks, total_order
 from gridtide.operators.quality import forecast_scores
-from gridtide.sources.files import write_parquet
+from gridtide.session import scratch_path
+from gridtide.sources.files import read_parquet, write_parquet
 
 # Configuration names and the regressor parameters they set.  The minimum rows to split a node
 # has no counterpart; the minimum rows per child is the nearest.
@@ -31,6 +32,7 @@ class TrainingSpec:
     # Target, features, grid and evaluation of the declared model.
     target: str = "load_actual"
     inputs: tuple[str, ...] = ("solar_actual", "wind_actual", "wind_offshore")
+    dropped: tuple[str, ...] = ("load_forecast",)
     train_share: float = 0.8
     folds: int = 3
     grid: Mapping[str, Sequence[float]] = field(
@@ -44,6 +46,10 @@ class TrainingSpec:
     time: str = "time"
     seed: int = 42
 
+    def __post_init__(self) -> None:
+        if both := sorted(set(self.inputs) & set(self.dropped)):
+            raise ValueError(f"Columns {both} are inputs and dropped.")
+
 
 @dataclass(frozen=True)
 class TrainingResult:
@@ -83,10 +89,13 @@ def chronological_split(
 def train(df: DataFrame, spec: TrainingSpec = TrainingSpec(), parallelism: int = 2) -> TrainingResult:
     """Search the grid on contiguous folds by mean absolute error, refit, score the held-out part.
 
-    Rows that lack the target or an input take no part.
+    Rows that lack the target or an input take no part.  The split is stored once; folds, refit and scores
+    read it from there.
     """
-    used = df.select(spec.time, spec.target, *spec.inputs).dropna()
-    parted = chronological_split(used, spec.train_share, spec.folds, spec.time)
+    used = df.drop(*spec.dropped).select(spec.time, spec.target, *spec.inputs).dropna()
+    path = scratch_path(df.sparkSession, "split")
+    write_parquet(chronological_split(used, spec.train_share, spec.folds, spec.time), path)
+    parted = read_parquet(df.sparkSession, path)
     ready = VectorAssembler(inputCols=list(spec.inputs), outputCol="inputs").transform(parted)
     regressor = GBTRegressor(featuresCol="inputs", labelCol=spec.target, seed=spec.seed)
     grid = ParamGridBuilder()

@@ -95,6 +95,15 @@ def test_split_is_chronological_and_exact(spark):
         chronological_split(df.limit(2), 0.8, folds=3)
 
 
+def test_training_settings_from_a_file(tmp_path):
+    path = tmp_path / "training.json"
+    path.write_text('{"inputs": ["wind_actual"], "folds": 2, "grid": {"max_depth": [3]}}', encoding="utf-8")
+    spec = command.read_training(str(path))
+    assert (spec.inputs, spec.folds, spec.grid, spec.target) == (("wind_actual",), 2, {"max_depth": [3]}, "load_actual")
+    with pytest.raises(ValueError, match="dropped"):
+        TrainingSpec(inputs=("load_forecast",))
+
+
 def test_training_finds_a_plain_relation(spark, tmp_path):
     start = dt.datetime(2020, 1, 1)
     rows = [(start + dt.timedelta(hours=h), 10.0 * (h % 24) + 5, float(h % 24), float(h % 7), 1.0) for h in range(400)]
