@@ -56,8 +56,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--training", help="JSON file of training settings")
     chosen = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    run = STAGES.get(chosen.stage, run_training)
-    run(build_session(), read_sources(chosen.sources), stages.Layout(chosen.root.rstrip("/")))
+    spark, sources, layout = build_session(), read_sources(chosen.sources), stages.Layout(chosen.root.rstrip("/"))
+    if chosen.stage == "training":
+        run_training(spark, sources, layout, read_training(chosen.training) if chosen.training else TrainingSpec())
+    else:
+        STAGES[chosen.stage](spark, sources, layout)
 
 
 if __name__ == "__main__":
