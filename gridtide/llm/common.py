@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import os
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,17 @@ SPACE = r"\x20\x09-\x0D"
 ROW_HASH = "_row_hash"
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers that start from now on find this package where the driver found it."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = [part for part in environment.get("PYTHONPATH", "").split(os.pathsep) if part]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -23,6 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     The planner then knows its size, so a join with it is broadcast only below Spark's own threshold.
     """
+    share_code(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

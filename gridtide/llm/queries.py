@@ -81,6 +81,32 @@ def op5_substrings(spark, sf_dir):
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+SQL["op5_substrings"] = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), placed AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts
+), windows AS (
+    SELECT doc_id, i, word, count(*) OVER ahead AS size, string_agg(word, ' ') OVER ahead AS words
+    FROM placed
+    WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), judged AS (
+    SELECT doc_id, i, word, size = 20 AND row_number() OVER (PARTITION BY size, words ORDER BY doc_id, i) > 1 AS again
+    FROM windows
+), covered AS (
+    SELECT doc_id, i, word,
+        bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+    FROM judged
+), kept AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS words
+    FROM covered GROUP BY doc_id
+)
+SELECT doc_id, len(texts.words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
 @query
 def op6_toxicity(spark, sf_dir):
     held_out = fold(F.col("doc_id"), 4) == 2
