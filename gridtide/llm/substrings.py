@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm.common import discard, release, stored
-from gridtide.llm.windows import Rolling, beside, bucketed_texts, first_copies, joined_bytes, representatives
+from gridtide.llm.windows import beside, bucketed_texts, first_copies, joined_bytes, representatives, rolling
 
 WINDOW = 20
 FIRST = 5
@@ -45,24 +45,17 @@ class WordHashes:
         self.text = text
 
     def words(self, stream: int) -> np.ndarray:
-        rolling = _rolling(stream)
-        return rolling.runs(rolling.prefix(rolling.table[self.raw]), self.starts, self.ends)
+        own = rolling(stream)
+        return own.runs(own.prefix(own.table[self.raw]), self.starts, self.ends)
 
     def chosen(self, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the windows of ``size`` words, and which of them stands for each whole window."""
-        hashes = _rolling(0).windows(words, size)
+        hashes = rolling(0).windows(words, size)
         if not len(self.whole):
             return hashes, self.whole
         return hashes, representatives(hashes, self.window - size + 1)[self.whole]
 
 
-_KEPT: dict[int, Rolling] = {}
-
-
-def _rolling(stream: int) -> Rolling:
-    return _KEPT.setdefault(stream, Rolling(stream)) if stream not in _KEPT else _KEPT[stream]
-
-
 def _survivors(found: WordHashes, words: np.ndarray, size: int | None, alive: list[np.ndarray | None]) -> np.ndarray:
     """Whether each whole window is still a candidate: its window of ``size`` words is alive in its text."""
     if size is None:
@@ -85,14 +78,13 @@ def _candidates(texts: DataFrame, notes: DataFrame, window: int, size: int, shor
             held = _survivors(found, words, shorter, alive)
             hashes, places = found.chosen(words, size)
             places = np.unique(places[held]) if len(places) else places
-            second = _rolling(1).windows(found.words(1), size)[places] if size == window else hashes[places]
+            second = rolling(1).windows(found.words(1), size)[places] if size == window else hashes[places]
             text = found.text[places]
-            rows = [batch.column(name).to_numpy(zero_copy_only=False)[text] for name in ("row",)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(hashes[places].view(np.int64)),
                     pa.array(second.view(np.int64)),
-                    pa.array(rows[0]),
+                    batch.column("row").take(pa.array(text)),
                     batch.column("doc_id").take(pa.array(text)),
                     pa.array((places - found.bounds[text]).astype(np.int32)),
                 ],

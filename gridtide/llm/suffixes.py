@@ -18,24 +18,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm.common import discard, release, stored
-from gridtide.llm.windows import Rolling, beside, bucketed_texts, first_copies, joined_bytes, representatives, runs_of
+from gridtide.llm.windows import beside, bucketed_texts, first_copies, joined_bytes, representatives, rolling, runs_of
 
 LENGTH = 200
 ANCHOR = 50
 LARGE_GROUP = 1000
 _STRINGS = 20_000  # in one collection, unless an anchor has more
-_KEPT: dict[int, Rolling] = {}
-
-
-def _rolling(stream: int) -> Rolling:
-    return _KEPT[stream] if stream in _KEPT else _KEPT.setdefault(stream, Rolling(stream))
 
 
 class Anchors:
     """Anchor of every whole string of ``length`` bytes in a chunk of texts."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, length: int, anchor: int):
-        self.hashes = _rolling(0).windows(_rolling(0).table[raw], anchor)
+        self.hashes = rolling(0).windows(rolling(0).table[raw], anchor)
         place = np.arange(max(0, len(raw) - length + 1))
         text = np.searchsorted(offsets, place, side="right") - 1
         self.whole = place[place + length <= offsets[text + 1]]
@@ -180,7 +175,7 @@ def _one_by_one(strings: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for row, start, data in zip(*(batch.column(name).to_pylist() for name in ("row", "start", "data"))):
                 raw = np.frombuffer(data, np.uint8)
-                hashes = [_rolling(stream).windows(_rolling(stream).table[raw], length).view(np.int64) for stream in (0, 1)]
+                hashes = [rolling(stream).windows(rolling(stream).table[raw], length).view(np.int64) for stream in (0, 1)]
                 count = len(hashes[0])
                 arrays = [pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.full(count, row)), pa.array(np.arange(start, start + count))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["hash", "more", "row", "low"])

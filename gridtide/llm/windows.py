@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,6 @@ from gridtide.llm.common import release, whole_text
 from gridtide.llm.tokens import chunks
 from gridtide.session import scratch_path
 
-_MASK = (1 << 64) - 1
 # Two streams for 128 bits: an odd multiplier and the seed of the symbol table of each.
 _STREAMS = ((0x9E3779B97F4A7C15, 1), (0xC2B2AE3D27D4EB4F, 2))
 
@@ -61,6 +61,12 @@ class Rolling:
         return mixed((prefix[size : size + count] - prefix[:count]) * self._power(self.down, count + 1)[:count])
 
 
+@cache
+def rolling(stream: int) -> Rolling:
+    """One per Python worker; its tables of powers grow with the longest chunk."""
+    return Rolling(stream)
+
+
 def representatives(hashes: np.ndarray, reach: int) -> np.ndarray:
     """For every place, the place of the smallest of the next ``reach`` hashes, the leftmost of equal ones.
 
