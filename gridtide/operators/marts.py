@@ -117,6 +117,10 @@ def to_long(df: DataFrame, series: Sequence[str] = SERIES, time: str = "time") -
 
 
 def series_in_month(long: DataFrame, series: Sequence[str], month: str, time: str = "time") -> DataFrame:
-    """Chosen series of one month, newest first; both conditions reach the file scan."""
+    """Chosen series of one month, newest first.
+
+    On a stored long table the series picks folders and the month meets Parquet statistics; on a long
+    form made in the same job neither reaches the scan if ``time`` is computed.
+    """
     wanted = in_month(F.col(time), month, type_of(long, time)) & F.col(TYPE).isin(*series)
     return long.where(wanted).orderBy(F.col(time).desc(), TYPE)

@@ -18,6 +18,7 @@ The sample only places the cuts; results do not depend on it.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -262,8 +263,12 @@ def restore_copies(counted: DataFrame) -> DataFrame:
 
 
 def total_order(df: DataFrame, order_by: Sequence[str], tiebreak: Sequence[str] | None = None) -> list[str]:
-    """``order_by`` made total: by the given unique columns, else by all remaining columns."""
-    extra = [name for name in df.columns if name not in order_by] if tiebreak is None else list(tiebreak)
+    """``order_by`` made total: by the given unique columns, else by all remaining columns.
+
+    Columns that have no order, such as maps, take no part.
+    """
+    sortable = [field.name for field in df.schema if not re.search(r"\b(map<|variant)", field.dataType.simpleString())]
+    extra = [name for name in sortable if name not in order_by] if tiebreak is None else list(tiebreak)
     return [*order_by, *extra]
 
 

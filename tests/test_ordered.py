@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridtide.operators import ordered
-from gridtide.operators.ordered import BLOCK, OrderedBlocks, global_lag
+from gridtide.operators.ordered import BLOCK, OrderedBlocks, global_lag, total_order
 
 LAGS = {"one": ("v", 1), "three": ("v", 3), "key": ("t", 2)}
 
@@ -150,3 +150,10 @@ def test_one_shuffle_of_the_rows(spark, sf_dir):
     plan = plan_of(global_lag(df, ["ts"], {"x": ("value", 24)}, ["event_id"], 50))
     assert plan.count("shufflepartitionidpassthrough") == 1
     assert plan.count("Exchange ") == 3  # the rows, the limited tails by block, the tails in order
+
+
+def test_a_map_takes_no_part_in_the_default_order(spark):
+    df = spark.range(40).select(F.col("id").alias("t"), F.create_map(F.lit("k"), F.col("id")).alias("m"), "id")
+    assert total_order(df, ["t"]) == ["t", "id"]
+    got = {row.t: row.before for row in global_lag(df, ["t"], {"before": ("id", 1)}, rows_per_block=7).collect()}
+    assert got == {i: i - 1 if i else None for i in range(40)}
