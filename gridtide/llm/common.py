@@ -72,9 +72,9 @@ def row_hash(text: str = "text") -> Column:
 def without_rows(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` less the rows named by ``dropped`` (its id column and ``ROW_HASH``).
 
-    The dropped rows are few and narrow; they are stored first, so that the planner sees their size
-    and moves the texts only when they are too many to broadcast.
+    The plan is the same at every size: both sides meet by id and hash, and the narrow one is hashed in
+    each task, so the texts move once and are not sorted.
     """
     gone = stored(dropped.select(F.col(doc_id).alias("_gone_id"), F.col(ROW_HASH).alias("_gone_hash")), "dropped")
     same = F.col(doc_id).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(whole_text(text)) == F.col("_gone_hash"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")

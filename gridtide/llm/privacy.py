@@ -262,12 +262,12 @@ def sanitised(text: Column, spans: str = "spans") -> Column:
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """``docs`` with personal data taken out of the texts; ``length``, if there, follows the new text.
 
-    Only rows with spans are stored for the join, so the planner can broadcast them while they are few.
+    Only rows with spans are stored for the join; the texts move once, by the same plan at every size.
     """
     spans = personal_spans(docs, doc_id, text).where(F.size("spans") > 0)
     changes = stored(spans.select(F.col("doc_id").alias("_id"), F.col(ROW_HASH).alias("_hash"), "spans").distinct(), "spans")
     same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(whole_text(text)) == F.col("_hash"))
-    joined = docs.join(changes, same, "left")
+    joined = docs.join(changes.hint("shuffle_hash"), same, "left")
     cleaned = F.when(F.col("spans").isNotNull(), sanitised(F.col(text))).otherwise(F.col(text))
     out = joined.withColumn(text, cleaned)
     if length in docs.columns:
