@@ -22,7 +22,7 @@ from gridtide.llm.windows import beside, bucketed_texts, first_copies, joined_by
 
 LENGTH = 200
 ANCHOR = 50
-LARGE_GROUP = 1000
+LARGE_GROUP = 20_000  # as many as one collection holds
 _STRINGS = 20_000  # in one collection, unless an anchor has more
 
 
