@@ -24,7 +24,7 @@ _BYTE_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 _SPAN = "struct<start:bigint,end:bigint,value:string>"
 WINDOW = 40
-MIN_TEXTS = 5
+MIN_TEXTS = 3
 GENERALISE_AT = 0.7
 REMOVE_AT = 0.9
 TERM = r"\p{L}{4,}"
@@ -117,6 +117,11 @@ def _near(span: Column) -> Column:
     )
 
 
+def _text_key(text: str) -> Column:
+    """Stands for the text: half of its SHA-256."""
+    return F.substr(F.unhex(F.sha2(text, 256)), F.lit(1), F.lit(16)).alias("text_key")
+
+
 def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``ROW_HASH``, ``text_key``, the base spans and the words beside them, per row."""
     source = docs.select(F.col(doc_id).alias("doc_id"), row_hash(text), whole_text(text).alias("_text"))
@@ -126,7 +131,7 @@ def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         lambda word: ~F.exists("base", lambda span: (span["start"] < word["end"]) & (word["start"] < span["end"])),
     )
     return marked.withColumn("near", near).select(
-        "doc_id", ROW_HASH, F.when(F.size("base") > 0, F.sha2("_text", 256)).alias("text_key"), "base", "near"
+        "doc_id", ROW_HASH, _text_key("_text"), "base", "near"
     )
 
 
@@ -144,10 +149,11 @@ def _words_in(filter_words: list[int], bits: int) -> Column:
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame, text: str, bits: int = 18) -> DataFrame:
-    """``term``, ``df``: number of rows with each of ``terms``.
+    """``term``, ``df``: number of distinct texts with each of ``terms``.
 
-    A bitmap of 2**bits bits, whatever the number of terms, lets only likely words out of the scan; they
-    are counted in each task before they move, and the join leaves the exact terms.
+    A bitmap of 2**bits bits, whatever the number of terms, lets only likely words out of the scan, as one list
+    per text.  Copies meet by the text's key; words are then counted in each task before they move, and
+    the join leaves the exact terms.
     """
     bit = F.xxhash64("term").bitwiseAND(F.lit((1 << bits) - 1))
     cells = terms.select(F.shiftright(bit, 5).cast("int").alias("cell"), (bit % 32).cast("int").alias("bit")).distinct()
@@ -155,8 +161,9 @@ def _document_counts(docs: DataFrame, terms: DataFrame, text: str, bits: int = 1
     bitmap = [0] * (1 << (bits - 5))
     for row in set_bits:
         bitmap[row["cell"]] = row["mask"]
-    words = docs.select(whole_text(text).alias("_text")).select(F.explode(_words_in(bitmap, bits)).alias("term"))
-    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    lists = docs.select(whole_text(text).alias("_text")).select(_text_key("_text"), _words_in(bitmap, bits).alias("words"))
+    texts = lists.where(F.size("words") > 0).dropDuplicates(["text_key"])
+    counted = texts.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counted.join(terms, "term")
 
 
@@ -165,26 +172,26 @@ def disclosing_terms(
 ) -> DataFrame:
     """``entity``, ``term``, ``disclosure`` for words that reveal a protected value.
 
-    The disclosure is PMI(entity; term) / IC(entity), from counts of rows: 1 means that the term occurs only
-    with the entity.  A pair in fewer than ``min_texts`` different texts gives no estimate, however often those
-    are copied.  Pairs are first held against a bound that needs no corpus count (a word is in at
-    least as many rows as it is beside entities), so the second pass counts only words that can still
-    reach ``generalise_at``.
+    The disclosure is PMI(entity; term) / IC(entity), from counts of distinct texts: 1 means that the term occurs
+    only with the entity.  A pair in fewer than ``min_texts`` texts gives no estimate.  Pairs are first held
+    against a bound that needs no corpus count (a word is in at least as many texts as it is beside
+    entities), so the second pass counts only words that can still reach ``generalise_at``.
     """
-    with_any = marked.where("text_key IS NOT NULL")
+    # Copies are equal in every column, so one row of each text stands for all.
+    by_text = marked.where(F.size("base") > 0).select("text_key", "base", "near").dropDuplicates(["text_key"])
     named = F.transform("base", lambda span: F.concat_ws(":", span["kind"], F.lower(span["value"])))
     paired = F.transform("near", lambda word: F.struct(word["entity"].alias("entity"), word["term"].alias("term")))
     alone = F.transform("near", lambda word: word["term"])
 
-    def per_row(items) -> DataFrame:
-        return with_any.select("text_key", F.explode(F.array_distinct(items)).alias("item"))
+    def per_text(items) -> DataFrame:
+        return by_text.select(F.explode(F.array_distinct(items)).alias("item"))
 
-    texts = F.count_distinct("text_key").alias("texts")
-    entities = per_row(named).groupBy(F.col("item").alias("entity")).agg(F.count(F.lit(1)).alias("df_entity"))
-    pairs = per_row(paired).select("text_key", "item.*").groupBy("entity", "term")
-    pairs = pairs.agg(F.count(F.lit(1)).alias("df_both"), texts).where(F.col("texts") >= min_texts).drop("texts")
-    around = per_row(alone).groupBy(F.col("item").alias("term")).agg(F.count(F.lit(1)).alias("df_near"))
-    total = F.lit(float(max(marked.count(), 1)))
+    entities = per_text(named).groupBy(F.col("item").alias("entity")).agg(F.count(F.lit(1)).alias("df_entity"))
+    pairs = per_text(paired).select("item.*").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_both"))
+    pairs = pairs.where(F.col("df_both") >= min_texts)
+    around = per_text(alone).groupBy(F.col("item").alias("term")).agg(F.count(F.lit(1)).alias("df_near"))
+    texts = marked.select("text_key").distinct().count()
+    total = F.lit(float(max(texts, 1)))
 
     def disclosure(df: str) -> Column:
         information = F.log(total / F.col("df_entity"))
@@ -210,8 +217,8 @@ def personal_spans(
     ``spans`` holds the base spans and, as kind ``term`` or ``remove``, the words beside a protected value whose
     disclosure of it reaches ``generalise_at`` or ``remove_at``.  Positions are code points, ends exclusive.
 
-    A null or empty text has no spans.  Rows that repeat id and text get equal spans and are one text for
-    ``min_texts``; a null id keeps its row; an empty table gives no rows; other columns are not read.
+    A null or empty text has no spans.  Rows that repeat id and text get equal spans and count as one text in
+    the corpus; a null id keeps its row; an empty table gives no rows; other columns are not read.
     """
     marked = stored(with_spans(docs, doc_id, text), "marked")
     terms = disclosing_terms(docs, marked, text, min_texts, generalise_at)

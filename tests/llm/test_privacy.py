@@ -43,6 +43,16 @@ def test_copies_count_as_one_text(docs_of):
     assert {row.spans for row in rows} == {"email:15:32", ""}
 
 
+def test_three_texts_are_enough_and_copies_do_not_change_counts(docs_of):
+    telling = [f"filler {i} write Zyxwv to boss@corp.example about {i}" for i in range(3)]
+    stray = ["a letter from Zyxwv about nothing else"]
+    plain = [f"filler {i} write nothing about {i}" for i in range(400)]
+    once = _rows(docs_of(telling + stray + plain))
+    assert all("remove:" in r.spans for r in once if r.base)
+    copied = _rows(docs_of(telling + stray * 300 + plain))
+    assert {r.spans for r in copied if r.base} == {r.spans for r in once if r.base}
+
+
 def test_sanitised_texts(docs_of):
     docs = docs_of([*_corpus(), None, "", "card 4111 1111 1111 1111 ip 10.0.0.1 +1 234 567 8901 end"])
     out = {row.doc_id: row for row in privacy.sanitise(docs).collect()}
