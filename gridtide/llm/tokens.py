@@ -25,7 +25,7 @@ _RARE = (
     r"<\||[^\x00-\x1b\x20-\x{84}\x{86}-\x{9f}\x{a1}-\x{12f}\x{131}-\x{2ff}\x{370}-\x{373}\x{375}-\x{37d}\x{37f}-\x{386}"
     r"\x{388}-\x{557}\x{2010}-\x{2027}\x{2030}-\x{205e}\x{20a0}-\x{20bf}\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{4e00}-\x{9fa5}\x{ac00}-\x{d7a3}]"
 )
-_NEVER = np.int32(1 << 30)
+_NEVER = np.int64(1 << 62)  # above merges * width for every width
 _REMEMBERED = 300_000  # words kept between batches
 _FOREST_CELLS = 1 << 16
 _CHUNK_CHARS = 4_000_000
@@ -41,7 +41,7 @@ def _byte_letters() -> list[str]:
 class MergeForest:
     """One segment tree per word over the ranks of its neighbouring symbols, all words at once.
 
-    A leaf holds ``rank * width + place`` of the pair that starts at its place, so a root is the
+    A leaf holds ``rank * width + place`` (64 bits, for words of any length) of the pair that starts at its place, so a root is the
     leftmost pair of the lowest rank in its word.  Each round merges at every root that holds a pair:
     three leaves change per word, and only their log(width) ancestors are renewed.
     """
@@ -52,7 +52,7 @@ class MergeForest:
         place = np.arange(self.width, dtype=np.int32)
         after = np.where(place + 1 < lengths[:, None], place + 1, -1).astype(np.int32)
         right = np.where(after >= 0, np.roll(symbols, -1, axis=1), -1)
-        tree = np.empty((count, 2 * self.width), np.int32)
+        tree = np.empty((count, 2 * self.width), np.int64)
         tree[:, self.width :] = self._keys(symbols, right, place)
         level = self.width
         while level > 1:
@@ -67,7 +67,7 @@ class MergeForest:
         wanted = (left.astype(np.int64) << 20) | right  # -1 on either side makes a negative number
         found = np.searchsorted(self.pairs, wanted)
         found[found == len(self.pairs)] = 0
-        return np.where(self.pairs[found] == wanted, self.ranks[found] * np.int32(self.width) + place, _NEVER)
+        return np.where(self.pairs[found] == wanted, self.ranks[found] * np.int64(self.width) + place, _NEVER)
 
     def run(self) -> np.ndarray:
         """Merge until no root holds a pair; the remaining symbols, -1 at places merged away."""
@@ -75,7 +75,7 @@ class MergeForest:
         rows = np.flatnonzero(tree[1 :: 2 * width] < _NEVER)
         while len(rows):
             cell, node = rows * width, rows * (2 * width)
-            rank, place = np.divmod(tree[node + 1], np.int32(width))
+            rank, place = np.divmod(tree[node + 1], np.int64(width))
             here = cell + place
             gone = after[here]
             beyond = after[cell + gone]

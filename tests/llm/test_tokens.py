@@ -37,6 +37,14 @@ def test_mixtures(own, library):
     assert _ids(own, texts) == [library.encode(text, add_special_tokens=False).ids for text in texts]
 
 
+def test_very_long_words(own, library):
+    rng = random.Random(11)
+    kinds = {"abcdefghijklmnopqrstuvwxyz": 1, "".join(map(chr, range(0x4E00, 0x9FA6))): 3, "!#$%&()*+,-./:;=?@[]^_{}~": 1}
+    texts = ["".join(rng.choices(kind, k=size // width)) for kind, width in kinds.items() for size in (20_000, 40_000)]
+    for text in texts:
+        assert _ids(own, [text]) == [library.encode(text, add_special_tokens=False).ids]
+
+
 def test_round_trip_query(docs_of, odd_texts, small_texts, library):
     texts = dict(enumerate(odd_texts)) | {100 + i: text for i, text in small_texts.items()}
     rows = {row.doc_id: row for row in tokens.round_trip(docs_of(texts.items()), vocabulary()).collect()}
