@@ -1,4 +1,4 @@
-"""Personal data in texts: four kinds by pattern, and words that reveal them by co-occurrence."""
+"""Personal data in texts: four kinds by pattern, and words that reveal them by co-occurrence in whole texts."""
 
 from __future__ import annotations
 
@@ -23,11 +23,11 @@ _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){
 _BYTE_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 _SPAN = "struct<start:bigint,end:bigint,value:string>"
-WINDOW = 40
 MIN_TEXTS = 3
 GENERALISE_AT = 0.7
 REMOVE_AT = 0.9
-TERM = r"\p{L}{4,}"
+# Words of three letters or more, and of two that start with a capital or a letter without case, as names do.
+TERM = r"\p{L}{3,}|(?<!\p{L})[\p{Lu}\p{Lt}\p{Lo}]\p{L}(?!\p{L})"
 
 
 def _placed(text: Column, pattern: str) -> Column:
@@ -92,29 +92,14 @@ def _found(kind: str) -> Column:
     )
 
 
-def _near(span: Column) -> Column:
-    """Words beside a span, as (entity, term, start, end); a word cut off by the window's edge is left out."""
-    text, start, end = F.col("_text"), span["start"], span["end"]
-    low = F.greatest(start - WINDOW, F.lit(0).cast("long"))
-    before = F.substr(text, (low + 1).cast("int"), (start - low).cast("int"))
-    behind = F.substr(text, (end + 1).cast("int"), F.lit(WINDOW))
-
-    def terms(context: Column, base: Column, inside) -> Column:
-        placed = F.filter(_placed(context, TERM), inside)
-        return F.transform(
-            placed,
-            lambda word: F.struct(
-                F.concat_ws(":", span["kind"], F.lower(span["value"])).alias("entity"),
-                F.lower(word["value"]).alias("term"),
-                (base + word["start"]).alias("start"),
-                (base + word["end"]).alias("end"),
-            ),
-        )
-
-    return F.concat(
-        terms(before, low, lambda word: (word["start"] > 0) | (low == 0)),
-        terms(behind, end, lambda word: word["end"] < WINDOW),
-    )
+def _as_term(word: Column) -> Column:
+    """Lower case; a word of two letters keeps its case, which is what makes it a term."""
+    return F.when(F.length(word) < 3, word).otherwise(F.lower(word))
+
+
+def _words() -> Column:
+    """All words of ``_text`` that can be terms, in order."""
+    return F.regexp_extract_all(F.col("_text"), F.lit(TERM), F.lit(0))
 
 
 def _text_key(text: str) -> Column:
@@ -123,45 +108,42 @@ def _text_key(text: str) -> Column:
 
 
 def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``ROW_HASH``, ``text_key``, the base spans and the words beside them, per row."""
+    """``doc_id``, ``ROW_HASH``, ``text_key``, the base spans and, where there are any, the distinct terms, per row."""
     source = docs.select(F.col(doc_id).alias("doc_id"), row_hash(text), whole_text(text).alias("_text"))
     marked = source.withColumn("base", F.sort_array(F.concat(*[_found(kind) for kind in KINDS])))
-    near = F.filter(
-        F.flatten(F.transform("base", _near)),
-        lambda word: ~F.exists("base", lambda span: (span["start"] < word["end"]) & (word["start"] < span["end"])),
-    )
-    return marked.withColumn("near", near).select(
-        "doc_id", ROW_HASH, _text_key("_text"), "base", "near"
-    )
+    terms = F.when(F.size("base") > 0, F.array_distinct(F.transform(_words(), _as_term)))
+    return marked.select("doc_id", ROW_HASH, _text_key("_text"), "base", terms.alias("words"))
 
 
-def _words_in(filter_words: list[int], bits: int) -> Column:
-    """Distinct lower-case words of ``_text`` whose hash bit is set in a bitmap of 2**bits bits."""
-    bitmap = F.from_json(F.lit(str(filter_words)), "array<bigint>")
+def _bitmap(terms: DataFrame, bits: int = 18) -> list[int]:
+    """Cells of 32 bits, 2**bits in all, with the hash bits of ``terms`` set, whatever their number."""
+    bit = F.xxhash64("term").bitwiseAND(F.lit((1 << bits) - 1))
+    cells = terms.select(F.shiftright(bit, 5).cast("int").alias("cell"), (bit % 32).cast("int").alias("bit")).distinct()
+    set_bits = cells.groupBy("cell").agg(F.sum(F.expr("shiftleft(1L, bit)")).alias("mask")).collect()  # at most 2**bits / 32 rows
+    bitmap = [0] * (1 << (bits - 5))
+    for row in set_bits:
+        bitmap[row["cell"]] = row["mask"]
+    return bitmap
 
-    def passes(word: Column) -> Column:
-        bit = F.xxhash64(word).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
-        cell = F.get(bitmap, F.shiftright(bit, 5))
-        return F.call_function("shiftright", cell, bit.bitwiseAND(F.lit(31))).bitwiseAND(F.lit(1)) == 1
 
-    words = F.regexp_extract_all(F.col("_text"), F.lit(TERM), F.lit(0))
-    return F.array_distinct(F.filter(F.transform(words, lambda word: F.lower(word)), passes))
+def _passes(term: Column, bitmap: list[int]) -> Column:
+    """Whether the hash bit of ``term`` is set."""
+    cells = F.from_json(F.lit(str(bitmap)), "array<bigint>")
+    bit = F.xxhash64(term).bitwiseAND(F.lit(32 * len(bitmap) - 1)).cast("int")
+    cell = F.get(cells, F.shiftright(bit, 5))
+    return F.call_function("shiftright", cell, bit.bitwiseAND(F.lit(31))).bitwiseAND(F.lit(1)) == 1
 
 
-def _document_counts(docs: DataFrame, terms: DataFrame, text: str, bits: int = 18) -> DataFrame:
-    """``term``, ``df``: number of distinct texts with each of ``terms``.
+def _document_counts(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
+    """``terms`` with ``df``, the number of distinct texts with each.
 
-    A bitmap of 2**bits bits, whatever the number of terms, lets only likely words out of the scan, as one list
+    A bitmap lets only likely words out of the scan, as one list
     per text.  Copies meet by the text's key; words are then counted in each task before they move, and
     the join leaves the exact terms.
     """
-    bit = F.xxhash64("term").bitwiseAND(F.lit((1 << bits) - 1))
-    cells = terms.select(F.shiftright(bit, 5).cast("int").alias("cell"), (bit % 32).cast("int").alias("bit")).distinct()
-    set_bits = cells.groupBy("cell").agg(F.sum(F.expr("shiftleft(1L, bit)")).alias("mask")).collect()  # at most 2**bits / 32 rows
-    bitmap = [0] * (1 << (bits - 5))
-    for row in set_bits:
-        bitmap[row["cell"]] = row["mask"]
-    lists = docs.select(whole_text(text).alias("_text")).select(_text_key("_text"), _words_in(bitmap, bits).alias("words"))
+    bitmap = _bitmap(terms)
+    likely = F.array_distinct(F.filter(F.transform(_words(), _as_term), lambda term: _passes(term, bitmap)))
+    lists = docs.select(whole_text(text).alias("_text")).select(_text_key("_text"), likely.alias("words"))
     texts = lists.where(F.size("words") > 0).dropDuplicates(["text_key"])
     counted = texts.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counted.join(terms, "term")
@@ -172,36 +154,72 @@ def disclosing_terms(
 ) -> DataFrame:
     """``entity``, ``term``, ``disclosure`` for words that reveal a protected value.
 
-    The disclosure is PMI(entity; term) / IC(entity), from counts of distinct texts: 1 means that the term occurs
-    only with the entity.  A pair in fewer than ``min_texts`` texts gives no estimate.  Pairs are first held
-    against a bound that needs no corpus count (a word is in at least as many texts as it is beside
-    entities), so the second pass counts only words that can still reach ``generalise_at``.
+    The disclosure is PMI(entity; term) / IC(entity), from counts of distinct whole texts: 1 means that the term
+    occurs only with the entity.  A pair in fewer than ``min_texts`` texts gives no estimate.  Words of the texts
+    that hold an entity in ``min_texts`` texts or more are first held against a bound that needs no pairs,
+    once by their count in these texts and once by their count in the corpus; only those that can still
+    reach ``generalise_at`` are paired, and pairs are counted in each task before they move.
     """
-    # Copies are equal in every column, so one row of each text stands for all.
-    by_text = marked.where(F.size("base") > 0).select("text_key", "base", "near").dropDuplicates(["text_key"])
+    texts = marked.select("text_key").distinct().count()
+    total = F.lit(float(max(texts, 1)))
     named = F.transform("base", lambda span: F.concat_ws(":", span["kind"], F.lower(span["value"])))
-    paired = F.transform("near", lambda word: F.struct(word["entity"].alias("entity"), word["term"].alias("term")))
-    alone = F.transform("near", lambda word: word["term"])
+    with_any = marked.where(F.size("base") > 0)
+    held = with_any.select("text_key", F.explode(F.array_distinct(named)).alias("entity")).distinct()
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+    # An entity of all texts carries no information.
+    entities = entities.where((F.col("df_entity") >= min_texts) & (F.col("df_entity") < texts))
+    known = held.join(entities, "entity").groupBy("text_key").agg(F.collect_list(F.struct("entity", "df_entity")).alias("known"))
+    # Copies are equal in every column, so one row of each text stands for all.
+    known = stored(known.join(with_any.select("text_key", "words").dropDuplicates(["text_key"]), "text_key"), "known")
+
+    def can_reach(df: str) -> Column:
+        """The most a term of ``df`` texts can have: with the most frequent entity around it, ``widest``."""
+        least = generalise_at * F.log(total / F.col("widest")) - 1e-9
+        return (F.col(df) <= F.col("widest")) | (F.log(total / F.col(df)) >= least)
+
+    widest = F.array_max(F.transform("known", lambda item: item["df_entity"]))
+    around = known.select(F.explode("words").alias("term"), widest.alias("widest")).groupBy("term")
+    around = around.agg(F.count(F.lit(1)).alias("df_near"), F.max("widest").alias("widest"))
+    possible = stored(around.where((F.col("df_near") >= min_texts) & can_reach("df_near")).select("term", "widest"), "possible")
+    counts = stored(_document_counts(docs, possible, text).where(can_reach("df")).select("term", "df"), "counts")
+    bitmap = _bitmap(counts)
+    likely = F.filter("words", lambda term: _passes(term, bitmap))
+    pairs = known.select("known", F.explode(likely).alias("term")).select("term", F.explode("known").alias("item"))
+    pairs = pairs.select("term", "item.*").groupBy("entity", "df_entity", "term").agg(F.count(F.lit(1)).alias("df_both"))
+    scored = pairs.where(F.col("df_both") >= min_texts).join(counts, "term")
+    mutual = F.log(total * F.col("df_both") / (F.col("df_entity") * F.col("df")))
+    scored = scored.withColumn("disclosure", mutual / F.log(total / F.col("df_entity")))
+    return scored.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure")
 
-    def per_text(items) -> DataFrame:
-        return by_text.select(F.explode(F.array_distinct(items)).alias("item"))
 
-    entities = per_text(named).groupBy(F.col("item").alias("entity")).agg(F.count(F.lit(1)).alias("df_entity"))
-    pairs = per_text(paired).select("item.*").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_both"))
-    pairs = pairs.where(F.col("df_both") >= min_texts)
-    around = per_text(alone).groupBy(F.col("item").alias("term")).agg(F.count(F.lit(1)).alias("df_near"))
-    texts = marked.select("text_key").distinct().count()
-    total = F.lit(float(max(texts, 1)))
+def _running(sizes: Column) -> Column:
+    """Running sums; each step adds the sums that end 1, 2, 4, ... places before."""
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(sizes) + 1)).cast("int")), lambda k: F.call_function("shiftleft", F.lit(1), k))
 
-    def disclosure(df: str) -> Column:
-        information = F.log(total / F.col("df_entity"))
-        return F.when(information > 0, F.log(total * F.col("df_both") / (F.col("df_entity") * F.col(df))) / information)
+    def add(sums: Column, step: Column) -> Column:
+        return F.transform(sums, lambda total, i: total + F.coalesce(F.get(sums, i - step), F.lit(0).cast("long")))
+
+    return F.aggregate(steps, sizes, add)
 
-    possible = pairs.join(entities, "entity").join(around, "term").where(disclosure("df_near") >= generalise_at)
-    possible = stored(possible.drop("df_near"), "pairs")
-    counts = _document_counts(docs, possible.select("term").distinct(), text)
-    scored = possible.join(counts, "term").withColumn("disclosure", disclosure("df"))
-    return scored.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure")
+
+def _term_places(docs: DataFrame, scores: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc_id``, ``ROW_HASH``, ``start``, ``end``, ``term``, ``disclosure`` wherever a term of ``scores`` occurs.
+
+    Only texts with a word that passes the bitmap have their words placed.
+    """
+    bitmap = _bitmap(scores)
+    source = docs.select(F.col(doc_id).alias("doc_id"), row_hash(text), whole_text(text).alias("_text")).withColumn("_words", _words())
+    source = source.where(F.exists("_words", lambda word: _passes(_as_term(word), bitmap)))
+    gaps = F.slice(F.split("_text", TERM, -1), 1, F.size("_words"))
+    sizes = F.zip_with(gaps, "_words", lambda gap, word: (F.length(gap) + F.length(word)).cast("long"))
+    placed = source.withColumn("_sizes", sizes).withColumn("_ends", _running(F.col("_sizes")))
+    spans = F.zip_with(
+        "_words",
+        "_ends",
+        lambda word, end: F.struct((end - F.length(word)).alias("start"), end.alias("end"), _as_term(word).alias("term")),
+    )
+    likely = F.filter(spans, lambda span: _passes(span["term"], bitmap))
+    return placed.select("doc_id", ROW_HASH, F.explode(likely).alias("word")).select("doc_id", ROW_HASH, "word.*").join(scores, "term")
 
 
 def personal_spans(
@@ -214,30 +232,28 @@ def personal_spans(
 ) -> DataFrame:
     """Base spans and disclosing words of every row: ``doc_id``, ``ROW_HASH``, ``base``, ``spans``.
 
-    ``spans`` holds the base spans and, as kind ``term`` or ``remove``, the words beside a protected value whose
-    disclosure of it reaches ``generalise_at`` or ``remove_at``.  Positions are code points, ends exclusive.
+    ``spans`` holds the base spans and, as kind ``term`` or ``remove``, the words whose disclosure of a protected
+    value reaches ``generalise_at`` or ``remove_at``, wherever in the corpus they stand outside base spans.  Positions are code points, ends exclusive.
 
     A null or empty text has no spans.  Rows that repeat id and text get equal spans and count as one text in
     the corpus; a null id keeps its row; an empty table gives no rows; other columns are not read.
     """
     marked = stored(with_spans(docs, doc_id, text), "marked")
     terms = disclosing_terms(docs, marked, text, min_texts, generalise_at)
+    scores = stored(terms.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "scores")
+    kind = F.when(F.col("disclosure") >= remove_at, "remove").otherwise("term").alias("kind")
+    span = F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", kind, F.col("term").alias("value"))
+    # Repeated rows find the same spans.
     added = (
-        marked.select("doc_id", ROW_HASH, F.explode("near").alias("word"))
-        .select("doc_id", ROW_HASH, "word.*")
-        .join(terms, ["entity", "term"])
-        .groupBy("doc_id", ROW_HASH, "start", "end", "term")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .withColumn("kind", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("term"))
+        _term_places(docs, scores, doc_id, text)
         .groupBy(F.col("doc_id").alias("_id"), F.col(ROW_HASH).alias("_hash"))
-        .agg(
-            F.collect_list(
-                F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", "kind", F.col("term").alias("value"))
-            ).alias("added")
-        )
+        .agg(F.collect_set(span).alias("added"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(ROW_HASH) == F.col("_hash"))
-    spans = F.sort_array(F.concat("base", F.coalesce("added", F.array().cast(marked.schema["base"].dataType))))
+    outside = F.filter(
+        "added", lambda word: ~F.exists("base", lambda span: (span["start"] < word["end"]) & (word["start"] < span["end"]))
+    )
+    spans = F.sort_array(F.concat("base", F.coalesce(outside, F.array().cast(marked.schema["base"].dataType))))
     return marked.join(added, same, "left").select("doc_id", ROW_HASH, "base", spans.alias("spans"))
 
 

@@ -53,6 +53,20 @@ def test_three_texts_are_enough_and_copies_do_not_change_counts(docs_of):
     assert {r.spans for r in copied if r.base} == {r.spans for r in once if r.base}
 
 
+def test_words_anywhere_in_a_text_reveal_and_are_marked_everywhere(docs_of):
+    gap = "nothing of note was said about the matter. " * 3
+    telling = [f"Zyxwv, Li and Ann met again. {gap}Then came boss@corp.example {i}" for i in range(4)]
+    lone = ["again Zyxwv and Li. " + gap + "no value here, é Ann"]
+    plain = [f"and met again then came {gap} {i}" for i in range(300)]
+    texts = [*telling, *lone, *plain]
+    rows = {row.doc_id: row.spans for row in _rows(docs_of(texts))}
+    for i in range(5):
+        starts = sorted((texts[i].index(name), len(name)) for name in ("Zyxwv", "Li", "Ann"))
+        found = [tuple(map(int, span.split(":")[1:])) for span in rows[i].split(",") if span.startswith(("remove", "term"))]
+        assert found == [(start, start + size) for start, size in starts]
+    assert all(rows[i] == "" for i in range(5, 305))
+
+
 def test_sanitised_texts(docs_of):
     docs = docs_of([*_corpus(), None, "", "card 4111 1111 1111 1111 ip 10.0.0.1 +1 234 567 8901 end"])
     out = {row.doc_id: row for row in privacy.sanitise(docs).collect()}
