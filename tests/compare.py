@@ -1,4 +1,4 @@
-"""Side-by-side comparison of a Spark result with SQL run by DuckDB on the same tables."""
+"""Side-by-side comparison of a Spark result with SQL run by DuckDB on the same tables, and plans as text."""
 
 from __future__ import annotations
 
@@ -56,3 +56,7 @@ def differences(result, sql: str, connection) -> list[str]:
         return [f"{len(actual)} rows instead of {len(expected)}"]
     left, right = _rows(result.columns, actual), _rows(list(expected_types), expected)
     return [f"{a} instead of {b}" for a, b in zip(left, right) if a != b][:3]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -40,7 +40,3 @@ def at():
     """Seconds after a fixed start, as a zone-less time."""
     start = dt.datetime(2024, 3, 1)
     return lambda seconds: start + dt.timedelta(seconds=seconds)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from gridtide.functions.labels import label_is, label_is_not, label_matches, label_matches_not

@@ -3,7 +3,7 @@
 from types import SimpleNamespace
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from gridtide.operators.wide import stage
