@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import exact_dedup, packing, privacy, quality_model, quality_rules, simhash, substrings, suffixes, tokens, toxicity
+from gridtide.llm import divergence, exact_dedup, packing, privacy, quality_model, quality_rules, simhash, substrings, suffixes, tokens, toxicity
 from gridtide.llm.common import ROW_HASH, read_table
 from gridtide.llm.labelled import fold
 
@@ -146,3 +146,45 @@ def op9_packing(spark, sf_dir):
 def op10_quality_rules(spark, sf_dir):
     trusted = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality_rules.quality_rules(_documents(spark, sf_dir), trusted).drop(ROW_HASH)
+
+
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.source_divergence(_documents(spark, sf_dir))
+
+
+SQL["op11_source_divergence"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), found AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts
+), kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS n FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), langs AS (
+    SELECT lang, sum(n)::HUGEINT AS n, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), counted AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS c FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+    SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n
+    FROM (SELECT DISTINCT lang, source FROM texts) LEFT JOIN counted USING (lang, source) GROUP BY ALL
+), shares AS (
+    SELECT lang, source, term, coalesce(c, 0) AS c, 1 + (1000000000 * (coalesce(c, 0) + 2)) // (groups.n + 2 * v) AS p,
+        1 + (1000000000 * (kept.n + 2)) // (langs.n + 2 * v) AS q
+    FROM groups JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), items AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE c > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM items
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
