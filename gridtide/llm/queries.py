@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import divergence, exact_dedup, packing, privacy, quality_model, quality_rules, simhash, substrings, suffixes, tokens, toxicity
+from gridtide.llm import divergence, exact_dedup, packing, prefix_trie, privacy, quality_model, quality_rules, simhash, substrings, suffixes, tokens, toxicity
 from gridtide.llm.common import ROW_HASH, read_table
 from gridtide.llm.labelled import fold
 
@@ -188,3 +188,53 @@ WITH texts AS (
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+SQL["op12_prefix_trie"] = """
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))
+    ) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY i) AS turns,
+        -- crc32 of the decimal id, bit by bit
+        xor(list_reduce(
+            list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+            lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))
+        ), 4294967295) % 9 AS h
+    FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT own.conv_id, list_concat(list_slice(base.turns, 1, own.h), list_slice(own.turns, own.h + 1, len(own.turns))) AS turns
+    FROM own LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % 5
+), paths AS (
+    SELECT conv_id, depth, len(turns) AS length, sha256(list_slice(turns, 1, depth)::JSON::VARCHAR) AS node,
+        CASE WHEN depth > 0 THEN strlen(turns[depth].text) ELSE 0 END AS bytes
+    FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+    SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+        coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (length = depth), '') AS ends
+    FROM paths GROUP BY depth, node
+), linked AS (
+    SELECT nodes.*, parents.conv_id AS parent_conv_id, parents.node AS parent
+    FROM nodes
+    LEFT JOIN paths above ON above.conv_id = nodes.conv_id AND above.depth = nodes.depth - 1
+    LEFT JOIN nodes parents ON parents.depth = above.depth AND parents.node = above.node
+), children AS (
+    SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL
+), below AS (
+    SELECT above.depth, above.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * nodes.bytes) AS saved
+    FROM nodes LEFT JOIN children USING (depth, node)
+    JOIN paths above ON above.conv_id = nodes.conv_id AND above.depth <= nodes.depth
+    GROUP BY above.depth, above.node
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM linked JOIN below USING (depth, node) LEFT JOIN children USING (depth, node)
+"""
