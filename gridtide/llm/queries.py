@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import divergence, exact_dedup, packing, prefix_trie, privacy, quality_model, quality_rules, simhash, substrings, suffixes, tokens, toxicity
+from gridtide.llm import divergence, exact_dedup, packing, prefix_trie, privacy, quality_model, quality_rules, simhash, substrings
+from gridtide.llm import suffixes, tokens, topk, toxicity
 from gridtide.llm.common import ROW_HASH, read_table
 from gridtide.llm.labelled import fold
 
@@ -238,3 +239,24 @@ SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_chi
     saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
 FROM linked JOIN below USING (depth, node) LEFT JOIN children USING (depth, node)
 """
+
+
+@query
+def op13_topk(spark, sf_dir):
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_topk"] = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.r <> c.r WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
