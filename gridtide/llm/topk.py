@@ -173,7 +173,7 @@ def _visits(queries: DataFrame, index: PivotIndex, first: int, last: int) -> Dat
         for batch in _slices(batches, max(1, _ITEMS // max(1, len(index.owner)))):
             high = index.highest(_matrix(batch.column("vector"), index.width))
             order = np.argsort(-high, axis=1, kind="stable")[:, first:last]
-            least = batch.column("least").cast(pa.float64()).fill_null(-np.inf).to_numpy()
+            least = batch.column("least").cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy()
             row, place = np.nonzero(np.take_along_axis(high, order, axis=1) >= least[:, None])
             ring = order[row, place]
             sizes = index.first_block[ring + 1] - index.first_block[ring]
