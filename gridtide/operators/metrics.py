@@ -23,7 +23,8 @@ def instant_of(ts: str, step: str) -> Column:
     return F.window(ts, step)["end"]
 
 
-def _newest(ts: str, value: str, unique_times: bool, where: Column | None = None) -> Column:
+def newest(ts: str, value: str, unique_times: bool, where: Column | None = None) -> Column:
+    """Value of the newest sample, of those that meet ``where``; see ``instant_values``."""
     time, sample = F.col(ts), F.struct(ts, value)
     if where is not None:
         time, sample = F.when(where, time), F.when(where, sample)
@@ -43,8 +44,8 @@ def instant_values(
     Where a series has at most one sample per time, ``unique_times`` says so: the newest value is
     then kept in a hash aggregate, about twice as fast as the ordered comparison of pairs.
     """
-    newest = _newest(ts, value, unique_times)
-    return samples.groupBy(*series, instant_of(ts, step).alias(INSTANT)).agg(newest.alias("value"))
+    last = newest(ts, value, unique_times)
+    return samples.groupBy(*series, instant_of(ts, step).alias(INSTANT)).agg(last.alias("value"))
 
 
 def aggregate(how: str, value: str = "value", scale: int | None = None) -> Column:
@@ -93,18 +94,20 @@ def used_percent(
 
     Series or instants that lack one of the gauges give no row.  ``unique_times`` as in ``instant_values``.
     """
-    free, total = (_newest(ts, value, unique_times, gauge) for gauge in (is_free, is_total))
-    return (
+    free, total = (newest(ts, value, unique_times, gauge) for gauge in (is_free, is_total))
+    gauges = (
         samples.where(is_free | is_total)
         .groupBy(*series, instant_of(ts, step).alias(INSTANT))
         .agg(free.alias("free"), total.alias("total"))
-        .where(F.col("free").isNotNull() & F.col("total").isNotNull())
-        .select(
-            *series,
-            INSTANT,
-            ((F.lit(1.0) - ieee_divide(F.col("free"), F.col("total"))) * 100).alias("value"),
-        )
     )
+    return ratio_of(gauges, [*series, INSTANT])
+
+
+def ratio_of(gauges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys`` and ``(1 - free / total) * 100`` where there are both."""
+    share = ieee_divide(F.col("free"), F.col("total"))
+    both = gauges.where(F.col("free").isNotNull() & F.col("total").isNotNull())
+    return both.select(*keys, ((F.lit(1.0) - share) * 100).alias("value"))
 
 
 def counter_rate(
@@ -127,32 +130,60 @@ def counter_rate(
     series with most of the samples is spread like any other.  Samples are then summed per step,
     and only those sums are copied to the windows they belong to.
     """
-    if seconds_of(window) % seconds_of(step):
-        raise ValueError("The window has to be a multiple of the step.")
     needed = samples.select(*dict.fromkeys([*series, ts, value, *tiebreak])).where(F.col(value).isNotNull())
     order = [*series, ts, *(tiebreak or [value])]
-    before = {f"_before_{name}": (name, 1) for name in (*series, ts, value)}
+    before = {f"_before_{name}": (name, 1) for name in series} | {"_before_ts": (ts, 1), "_before_value": (value, 1)}
     lagged = OrderedBlocks.fit(needed, order, rows_per_block).lag(needed, before)
-    same = F.lit(True)
+    alone = {"first_ts": F.col(ts), "first_value": F.col(value), "last_ts": F.col(ts), "growth": F.lit(0.0)}
+    return _rate(lagged.withColumns(alone), series, window, step)
+
+
+def rate_of_slices(
+    slices: DataFrame, series: Sequence[str], window: str, step: str, rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
+    """``counter_rate`` from stretches of a series that are summed up already.
+
+    A slice has ``first_ts``, ``first_value``, ``last_ts``, ``last_value`` and the ``growth`` between them; slices of a
+    series do not overlap, and each lies within one step.
+    """
+    columns = [*series, "first_ts", "first_value", "last_ts", "last_value", "growth"]
+    needed = slices.select(*columns)
+    before = {f"_before_{name}": (name, 1) for name in series}
+    before |= {"_before_ts": ("last_ts", 1), "_before_value": ("last_value", 1)}
+    lagged = OrderedBlocks.fit(needed, [*series, "first_ts"], rows_per_block).lag(needed, before)
+    return _rate(lagged, series, window, step)
+
+
+def grown(earlier: Column, now: Column) -> Column:
+    """Increase of a counter between neighbours; after a reset it grew by its new value."""
+    return F.when(now >= earlier, now - earlier).otherwise(now)
+
+
+def _rate(lagged: DataFrame, series: Sequence[str], window: str, step: str) -> DataFrame:
+    """Rates from slices that know the end of the slice before them."""
+    if seconds_of(window) % seconds_of(step):
+        raise ValueError("The window has to be a multiple of the step.")
+    same = F.col("_before_value").isNotNull()
     for name in series:
         same = same & F.col(f"_before_{name}").eqNullSafe(F.col(name))
-    earlier, now = F.col(f"_before_{value}"), F.col(value)
-    grown = F.when(now >= earlier, now - earlier).otherwise(now)
+    entry = grown(F.col("_before_value"), F.col("first_value"))
     stepped = lagged.select(
         *series,
-        ts,
-        instant_of(ts, step).alias(INSTANT),
-        F.when(same, F.col(f"_before_{ts}")).alias("_before"),
-        F.when(same & earlier.isNotNull(), grown).otherwise(F.lit(0.0)).alias("_grown"),
+        "first_ts",
+        "last_ts",
+        instant_of("first_ts", step).alias(INSTANT),
+        F.when(same, F.col("_before_ts")).alias("_before"),
+        F.when(same, entry).otherwise(F.lit(0.0)).alias("_entry"),
+        "growth",
     )
-    # The first sample of a step: its predecessor lies before the step.
+    # The first slice of a step: its predecessor lies before the step.
     opens = F.col("_before").isNull() | (F.col("_before") < F.col(INSTANT) - duration(step))
     steps = stepped.groupBy(*series, INSTANT).agg(
-        F.sum("_grown").alias("_grown"),
-        F.sum(F.when(opens, F.col("_grown"))).alias("_entry"),
+        F.sum(F.col("_entry") + F.col("growth")).alias("_grown"),
+        F.sum(F.when(opens, F.col("_entry"))).alias("_entry"),
         F.min(F.when(opens, F.col("_before"))).alias("_before"),
-        F.min(ts).alias("_first"),
-        F.max(ts).alias("_last"),
+        F.min("first_ts").alias("_first"),
+        F.max("last_ts").alias("_last"),
     )
     last_view = F.col(INSTANT) + duration(window) - duration(step)
     seen = steps.withColumn(INSTANT, F.explode(F.sequence(F.col(INSTANT), last_view, duration(step))))

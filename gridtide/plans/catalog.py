@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,9 @@ def _rounded(*names: str) -> dict[str, Column]:
     return {name: F.round(name, 6) for name in names}
 
 
-# Fixed value: decimals of the samples.
+# Decimals of the samples, and the hour of their first day since 1970.
 SCALE = 2
+FIRST_HOUR = 473_352
 
 
 # --- staging and features -------------------------------------------------------------------
@@ -350,6 +352,98 @@ def stream_alerts_scattered(spark, sf_dir):
     return _stream_alerts(spark, _scattered_stream(spark, sf_dir))
 
 
+def _samples_stream(stream: DataFrame) -> DataFrame:
+    return stream.select(
+        "event_id", "ts", F.col("event_type").alias("job"), F.col("user_id").cast("string").alias("instance"), "value"
+    )
+
+
+def _stream_rate(spark: SparkSession, stream: DataFrame, slice_length: str, late: str) -> DataFrame:
+    sliced = rules.counter_slices(_samples_stream(stream), ["job"], slice_length, late, tiebreak=["event_id"])
+    stored = scratch_path(spark, "slices")
+    write_parquet(_drained(spark, "sliced", sliced, ["job", "slice"]), stored)
+    rates = metrics.rate_of_slices(read_parquet(spark, stored), ["job"], "2 hours", "30 minutes")
+    return rates.withColumns(_rounded("value"))
+
+
+@query
+def stream_rate(spark, sf_dir):
+    return _stream_rate(spark, _event_stream(spark, sf_dir), "1 minute", "10 minutes")
+
+
+@query
+def stream_rate_scattered(spark, sf_dir):
+    return _stream_rate(spark, _scattered_stream(spark, sf_dir), "1 minute", "10 minutes")
+
+
+@query
+def stream_rate_batches(spark, sf_dir):
+    """In six batches whose rows overlap by some hours."""
+    return _stream_rate(spark, _batched_stream(spark, events(spark, sf_dir), "ts", 6), "30 minutes", "12 hours")
+
+
+@query
+def stream_ratio(spark, sf_dir):
+    return _stream_ratio(spark, _event_stream(spark, sf_dir))
+
+
+@query
+def stream_ratio_scattered(spark, sf_dir):
+    return _stream_ratio(spark, _scattered_stream(spark, sf_dir))
+
+
+def _stream_ratio(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    is_free, is_total = F.col("job") == "click", F.col("job") == "view"
+    used = rules.used_percent_stream(
+        _samples_stream(stream), ["instance"], "1 day", is_free, is_total, "10 minutes", unique_times=True
+    )
+    return _drained(spark, "ratio", used, ["instance", "instant"]).withColumns(_rounded("value"))
+
+
+def _batched_stream(spark: SparkSession, rows: DataFrame, ts: str, count: int) -> DataFrame:
+    """``rows`` as a stream of ``count`` batches of five days; those of odd hours come up to seven hours early."""
+    hours = F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / 3600)
+    number = F.floor((hours + 7 * (hours % 2) - FIRST_HOUR) / 120)
+    path = scratch_path(spark, "batches")
+    for part in range(count):
+        own = number <= 0 if part == 0 else number >= part if part == count - 1 else number == part
+        rows.where(own).coalesce(1).write.parquet(f"{path}/n{part}")
+    return rules.read_files(spark, f"{path}/n*", rows.schema, files_per_batch=1)
+
+
+@query
+def stream_alert_timely(spark, sf_dir):
+    """Alerts on hourly averages as they stand after each of six batches."""
+    hourly = _hourly_average(spark, sf_dir)
+    stream, count = _batched_stream(spark, hourly, metrics.INSTANT, 6), 6
+    found = rules.alerts_stream(stream, ["job"], 45.0, "2 hours", "1 hour", "12 hours")
+    out = scratch_path(spark, "timely")
+    keys = ["job", metrics.INSTANT]
+    rules.drain(found, out, scratch_path(spark, "timely-checkpoint"), keys)
+    after = [
+        rules.results_after(spark, out, found.schema, keys, batch=number).withColumn("batch", F.lit(number))
+        for number in range(count)
+    ]
+    return reduce(DataFrame.unionByName, after)
+
+
+@query
+def stream_resumed(spark, sf_dir):
+    """A stream drained over the first half, drained again without new files, and over all."""
+    rows, path = events(spark, sf_dir), scratch_path(spark, "resumed")
+    early = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    out, checkpoint = scratch_path(spark, "rolling"), scratch_path(spark, "rolling-checkpoint")
+    drained = []
+    for number, more in enumerate((early, None, ~early)):
+        if more is not None:
+            rows.where(more).write.parquet(f"{path}/n{number}")
+        rolling = _rolling(rules.read_files(spark, f"{path}/n*", rows.schema), "2 hours", "30 minutes")
+        seen, stored = rules.drain(rolling, out, checkpoint, ["instant", "job"]), scratch_path(spark, "seen")
+        write_parquet(seen.withColumn("drained", F.lit(number)), stored)
+        drained.append(read_parquet(spark, stored))
+    return reduce(DataFrame.unionByName, drained)
+
+
 # --- sources, sinks, whole jobs -------------------------------------------------------------
 
 

@@ -243,6 +243,29 @@ SQL: dict[str, str] = {
             CASE WHEN n <= training THEN 'train' ELSE 'test' END AS part
         FROM numbered""",
 }
+SQL["stream_rate"] = SQL["stream_rate_scattered"] = SQL["stream_rate_batches"] = SQL["metric_counter_rate"]
+SQL["stream_ratio"] = SQL["stream_ratio_scattered"] = SQL["metric_ratio"]
+# Six batches of five days; rows of odd hours count as seven hours later.
+SQL["stream_alert_timely"] = f"""
+    WITH {_HOURLY}, placed AS (
+        SELECT *, epoch(instant)::BIGINT // 3600 AS h FROM hourly
+    ), dealt AS (
+        SELECT job, instant, value, greatest(0, least(5, (h + 7 * (h % 2) - 473352) // 120)) AS arrived FROM placed
+    ), so_far AS (
+        SELECT job, instant, value, batch FROM dealt, range(6) AS batches(batch) WHERE arrived <= batch AND value > 45
+    )
+    SELECT a.batch::INTEGER AS batch, a.job, a.instant, a.value,
+        CASE WHEN COUNT(*) = 3 THEN 'firing' ELSE 'pending' END AS state
+    FROM so_far a JOIN so_far b ON a.job = b.job AND a.batch = b.batch
+        AND b.instant BETWEEN a.instant - INTERVAL '2 hours' AND a.instant
+    GROUP BY ALL"""
+SQL["stream_resumed"] = """
+    WITH seen AS (
+        SELECT event_type AS job, value, drained::INTEGER AS drained,
+            time_bucket(INTERVAL '30 minutes', ts) + i * INTERVAL '30 minutes' AS instant
+        FROM events, range(1, 5) AS offsets(i), range(3) AS drains(drained)
+        WHERE drained = 2 OR ts < TIMESTAMP '2024-01-15 00:00:00')
+    SELECT instant, job, drained, ROUND(SUM(value), 4) / COUNT(*) AS value FROM seen GROUP BY instant, job, drained"""
 SQL["stream_alerts"] = SQL["stream_alerts_scattered"] = SQL["alert_instants"]
 SQL["stream_rolling_scattered"] = SQL["stream_rolling_avg"]
 # The held-out fifth in time order, predicted without error.

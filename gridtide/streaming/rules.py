@@ -7,15 +7,18 @@ Times come out on the UTC wall clock, whether they went in as instants or as zon
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from threading import Condition
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from gridtide.functions.temporal import clock_text, duration, minute_of_day, seconds_of, type_of, utc_instant, utc_wall_clock
 from gridtide.operators.alerts import FIRING, PENDING, is_above
-from gridtide.operators.metrics import INSTANT, aggregate
+from gridtide.operators.metrics import INSTANT, aggregate, grown, newest, ratio_of
 
 _BATCH = "_batch"
 
@@ -40,42 +43,86 @@ class LateRowsDropped(RuntimeError):
     """Rows came after the watermark had passed their window."""
 
 
+class _Drops(StreamingQueryListener):
+    """Late rows over all batches of each run; a query itself remembers only its last ones."""
+
+    def __init__(self) -> None:
+        self.rows: Counter[str] = Counter()
+        self._ended: set[str] = set()
+        self._changed = Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.rows[str(progress.runId)] += sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def of(self, run: str) -> int:
+        """Late rows of a run that is over; its last report may still be on the way."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: run in self._ended, timeout=120):
+                raise RuntimeError("The reports of a finished stream did not arrive.")
+        return self.rows[run]
+
+
 def drain(result: DataFrame, out: str, checkpoint: str, keys: Sequence[str], mode: str = "update") -> DataFrame:
     """Process what is available, then read the newest version of every row.  Both paths are on shared storage.
 
     ``keys`` name a row of the result.  Sessions cannot be updated in place: they are drained in ``complete`` mode,
     where every batch holds the whole result.  Each batch writes the rows it changed to a folder of its own, which
-    a repeated batch writes again.  Rows dropped as too late stop the job with ``LateRowsDropped``: they would be
-    missing without a word.
+    a repeated batch writes again.  A later drain on the same folders goes on where this one ended and gives the whole
+    result again, with or without new input.  Rows dropped as too late stop the job with ``LateRowsDropped``: they
+    would be missing without a word.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/{_BATCH}={number}")
 
-    query = (
-        result.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write)
-        .start()
-    )
-    query.awaitTermination()
-    dropped = sum(
-        operator.numRowsDroppedByWatermark for progress in query.recentProgress for operator in progress.stateOperators
-    )
+    spark = result.sparkSession
+    drops = _Drops()
+    spark.streams.addListener(drops)
+    try:
+        query = (
+            result.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(write)
+            .start()
+        )
+        query.awaitTermination()
+        dropped = drops.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(drops)
     if dropped:
         raise LateRowsDropped(f"{dropped} rows came too late for their windows.")
-    spark = result.sparkSession
-    schema = T.StructType([*result.schema.fields, T.StructField(_BATCH, T.LongType())])
-    if not any(progress.numInputRows for progress in query.recentProgress):
-        return spark.createDataFrame([], result.schema)
-    versions = spark.read.schema(schema).parquet(out)
+    return results_after(spark, out, result.schema, keys, mode)
+
+
+def results_after(
+    spark: SparkSession, out: str, schema: T.StructType, keys: Sequence[str], mode: str = "update", batch: int | None = None
+) -> DataFrame:
+    """What the stored batches of a stream said once ``batch``, or the last one, was done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = [int(item.getPath().getName().partition("=")[2]) for item in files.listStatus(path)] if files.exists(path) else []
+    seen = [number for number in numbers if batch is None or number <= batch]
+    if not seen:
+        return spark.createDataFrame([], schema)
+    versions = spark.read.schema(T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())])).parquet(out)
     if mode == "complete":
-        last = query.lastProgress.batchId
-        return versions.where(F.col(_BATCH) == last).drop(_BATCH)
-    others = [name for name in result.columns if name not in keys]
-    newest = versions.groupBy(*keys).agg(*[F.max_by(F.struct(*others), _BATCH).alias("_row")])
-    return newest.select(*[F.col(name) if name in keys else F.col("_row")[name].alias(name) for name in result.columns])
+        return versions.where(F.col(_BATCH) == max(seen)).drop(_BATCH)
+    others = [name for name in schema.names if name not in keys]
+    newest = versions.where(F.col(_BATCH) <= max(seen)).groupBy(*keys).agg(F.max_by(F.struct(*others), _BATCH).alias("_row"))
+    return newest.select(*[F.col(name) if name in keys else F.col("_row")[name].alias(name) for name in schema.names])
 
 
 def rolling_by_label(
@@ -105,6 +152,103 @@ def rolling_by_label(
     )
 
 
+def counter_slices(
+    samples: DataFrame,
+    series: Sequence[str],
+    slice_length: str,
+    late: str,
+    ts: str = "ts",
+    value: str = "value",
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """Slices of counters for ``metrics.rate_of_slices``, one per series and ``slice_length``; ``slice`` is its end.
+
+    Samples of a slice wait in the state until the watermark has passed it, because one that comes late changes its
+    neighbours.  A slice is summed up from them, and sums of neighbouring slices add up in any batch, so ``slice_length``
+    bounds what a series keeps together: it has to divide the step of the rate, and is best a few samples long.
+    """
+    dtype = type_of(samples, ts)
+    sample = F.struct(F.col("_event").alias("at"), *tiebreak, F.col(value).alias("value"))
+    nothing = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("growth"))
+
+    def add(done: Column, item: Column) -> Column:
+        more = F.when(done["last"].isNull(), 0.0).otherwise(grown(done["last"], item["value"]))
+        return F.struct(item["value"].alias("last"), (done["growth"] + more).alias("growth"))
+
+    def wall_clock(at: Column) -> Column:
+        return utc_wall_clock(at, T.TimestampType())
+
+    first, last = F.get("listed", F.lit(0)), F.element_at("listed", -1)
+    return (
+        samples.where(F.col(value).isNotNull())
+        .withColumn(value, F.col(value).cast("double"))
+        .withColumn("_event", utc_instant(F.col(ts), dtype))
+        .withWatermark("_event", late)
+        .groupBy(F.window("_event", slice_length).alias("seen"), *series)
+        .agg(F.sort_array(F.collect_list(sample)).alias("listed"))
+        .select(
+            *series,
+            wall_clock(F.col("seen.end")).alias("slice"),
+            wall_clock(first["at"]).alias("first_ts"),
+            first["value"].alias("first_value"),
+            wall_clock(last["at"]).alias("last_ts"),
+            last["value"].alias("last_value"),
+            F.aggregate("listed", nothing, add)["growth"].alias("growth"),
+        )
+    )
+
+
+def used_percent_stream(
+    samples: DataFrame,
+    series: Sequence[str],
+    step: str,
+    is_free: Column,
+    is_total: Column,
+    late: str,
+    ts: str = "ts",
+    value: str = "value",
+    unique_times: bool = False,
+) -> DataFrame:
+    """Streaming ``metrics.used_percent``: two gauges meet in one state per series and instant.
+
+    A row comes out once both are there and changes with newer samples; the watermark ends the state of an
+    instant, whether or not its other gauge has come.
+    """
+    free, total = (newest("_event", value, unique_times, gauge) for gauge in (is_free, is_total))
+    gauges = (
+        samples.where(is_free | is_total)
+        .withColumn("_event", utc_instant(F.col(ts), type_of(samples, ts)))
+        .withWatermark("_event", late)
+        .groupBy(F.window("_event", step).alias("seen"), *series)
+        .agg(free.alias("free"), total.alias("total"))
+    )
+    instant = utc_wall_clock(F.col("seen.end"), T.TimestampType())
+    return ratio_of(gauges.withColumn(INSTANT, instant), [*series, INSTANT])
+
+
+def alerts_stream(instants: DataFrame, labels: Sequence[str], threshold: float, hold: str, step: str, late: str) -> DataFrame:
+    """The alert at every instant above the threshold, as soon as the instant is known: labels, instant, value, state.
+
+    ``instants`` is a stream of one value per labels and instant of the step's grid.  An alert fires when the instants of
+    the whole ``hold`` before it, and itself, are above the threshold.  They are counted in a window that slides by
+    the step, so a run needs no state of its own: what an instant keeps ends ``hold`` and ``late`` after it, however long the run
+    lasts, and an instant that comes late changes the alerts after it.
+    """
+    size = seconds_of(step)
+    needed = -(-seconds_of(hold) // size) + 1
+    seen = F.window("_event", f"{needed * size} seconds", f"{size} seconds").alias("seen")
+    found = (
+        instants.where(is_above(F.col("value"), threshold))
+        .withColumn("_event", utc_instant(F.col(INSTANT), type_of(instants, INSTANT)))
+        .withWatermark("_event", late)
+        .groupBy(seen, *labels)
+        .agg(F.count("value").alias("above"), F.max("_event").alias("last"), F.max_by("value", "_event").alias("value"))
+    )
+    fires = F.when(F.col("above") >= needed, FIRING).otherwise(PENDING).alias("state")
+    instant = utc_wall_clock(F.col("last"), T.TimestampType()).alias(INSTANT)
+    return found.where(F.col("last") == F.col("seen.end") - duration(step)).select(*labels, instant, "value", fires)
+
+
 def daily_peak_stream(df: DataFrame, late: str, time: str = "time", load: str = "load_actual") -> DataFrame:
     """Streaming form of the daily peak mart; a day changes until it is over."""
     dtype = type_of(df, time)
