@@ -1,4 +1,9 @@
+import math
+import random
+from collections import Counter, defaultdict
+
 import brute
+import regex
 
 from gridtide.llm import privacy
 
@@ -53,11 +58,17 @@ def test_three_texts_are_enough_and_copies_do_not_change_counts(docs_of):
     assert {r.spans for r in copied if r.base} == {r.spans for r in once if r.base}
 
 
+def _filler(seed, size=25):
+    words = "nothing of note was said about the matter that day for all who came and went their own way as before".split()
+    return " ".join(random.Random(seed).choices(words, k=size))
+
+
 def test_words_anywhere_in_a_text_reveal_and_are_marked_everywhere(docs_of):
-    gap = "nothing of note was said about the matter. " * 3
-    telling = [f"Zyxwv, Li and Ann met again. {gap}Then came boss@corp.example {i}" for i in range(4)]
-    lone = ["again Zyxwv and Li. " + gap + "no value here, é Ann"]
-    plain = [f"and met again then came {gap} {i}" for i in range(300)]
+    # Each text has words of its own order: texts that copy each other would count as one.
+    gaps = [_filler(i) for i in range(305)]
+    telling = [f"Zyxwv, Li and Ann met again. {gaps[i]} Then came boss@corp.example {i}" for i in range(4)]
+    lone = [f"again Zyxwv and Li. {gaps[4]} no value here, é Ann"]
+    plain = [f"no value here and met again then came {gaps[i]} {i}" for i in range(5, 305)]
     texts = [*telling, *lone, *plain]
     rows = {row.doc_id: row.spans for row in _rows(docs_of(texts))}
     for i in range(5):
@@ -67,6 +78,99 @@ def test_words_anywhere_in_a_text_reveal_and_are_marked_everywhere(docs_of):
     assert all(rows[i] == "" for i in range(5, 305))
 
 
+def _disclosing(texts, min_texts=3):
+    """Terms and their kinds, from all pairs of distinct texts that do not depend on each other."""
+    texts = sorted(set(filter(None, texts)) | {""})
+    words, holders = defaultdict(set), defaultdict(set)
+    for place, text in enumerate(texts):
+        for word in regex.findall(privacy.TERM, text):
+            words[word if len(word) < 3 else word.lower()].add(place)
+        for kind, value in {(kind, text[start:end].lower()) for start, _, end, kind in brute.personal(text)}:
+            holders[kind, value].add(place)
+            if kind == "email":
+                holders["domain", value.rpartition("@")[2]].add(place)
+    total, best = len(texts), Counter()
+    for held in holders.values():
+        for word, there in words.items():
+            a, b, both = len(held), len(there), len(held & there)
+            if a >= min_texts and both >= min_texts and a < total:
+                cells = [(both, a * b), (a - both, a * (total - b)), (b - both, b * (total - a)), (total - a - b + both, (total - a) * (total - b))]
+                g = 2 * sum(n * math.log(n * total / e) for n, e in cells if n)
+                if g >= privacy.LEAST_G:
+                    best[word] = max(best[word], math.log(total * both / (a * b)) / math.log(total / a))
+    return {word: "remove" if share >= 0.9 else "term" for word, share in best.items() if share >= 0.7}
+
+
+def test_added_spans_equal_brute_force(docs_of):
+    rng, names = random.Random(4), [f"{a}{b}son" for a in ("An", "Be", "Ca", "Do") for b in ("ka", "lu", "mo", "né")]
+    texts = []
+    for i in range(400):
+        parts = [_filler(1000 + i, 12)]
+        person = rng.randrange(16)
+        if rng.random() < 0.5:
+            parts.append(rng.choice([names[person], "Jo", "the office"]))
+            parts.append(rng.choice([f"p{person}@d{person % 3}.example", f"10.0.0.{person % 4}", "+49 30 1234567", "", ""]))
+        rng.shuffle(parts)
+        texts.append(" ".join([*parts, rng.choice(names), _filler(5000 + i, 8)]))
+    texts += texts[:50] * 5 + [None, ""]
+    kinds = _disclosing(texts)
+    assert set(kinds.values()) == {"remove", "term"} or kinds
+    expected = {}
+    for i, text in enumerate(texts):
+        base = brute.personal(text)
+        spans = [(start, rank, end, kind) for start, rank, end, kind in base]
+        for match in regex.finditer(privacy.TERM, text or ""):
+            word = match.group() if len(match.group()) < 3 else match.group().lower()
+            if word in kinds and not any(start < match.end() and match.start() < end for start, _, end, _ in base):
+                spans.append((match.start(), 9, match.end(), kinds[word]))
+        expected[i] = ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in sorted(spans))
+    assert {row.doc_id: row.spans for row in _rows(docs_of(texts))} == expected
+
+
+def test_texts_that_copy_each_other_count_once(docs_of):
+    base = _filler(1, 60).split()
+    copies = []
+    for i in range(12):
+        words = list(base)
+        words[3 * i] = f"other{i}"
+        copies.append(" ".join([*words[:30], "Zyxwv writes to boss@corp.example", *words[30:]]))
+    plain = [_filler(100 + i, 30) for i in range(300)]
+    assert all(row.spans == brute_spans for row, brute_spans in ((r, _expected([*copies, *plain][r.doc_id])) for r in _rows(docs_of([*copies, *plain]))))
+
+
+def test_many_matches_in_one_text(docs_of):
+    text = "".join(f"né u{i}@h.example\n" for i in range(20_000))
+    docs = docs_of([text, "plain"])
+    row = next(row for row in _rows(docs) if row.doc_id == 0)
+    assert row.base == _expected(text)
+    out = {row.doc_id: row.text for row in privacy.sanitise(docs).collect()}
+    assert out == {0: "né [EMAIL]\n" * 20_000, 1: "plain"}
+
+
+def test_columns_named_like_those_inside(docs_of):
+    from pyspark.sql import functions as F
+
+    names = ("spans", "_id", "_hash", "_text", "base", "term", "_row_hash", "hits")
+    docs = docs_of(["mail a@b.example", None]).withColumns({name: F.lit(name) for name in names})
+    out = {row.doc_id: row for row in privacy.sanitise(docs).collect()}
+    assert out[0].text == "mail [EMAIL]" and all(out[0][name] == name for name in names)
+    assert privacy.sanitise(docs).columns == docs.columns
+
+
+def test_overlapping_spans_and_far_places(spark):
+    text = "ab" * 1500 + "é" + "cd" * 1500
+    spans = [(0, 0, 3, "email"), (2, 1, 6, "ip"), (999, 0, 1001, "card"), (1000, 1, 1000, "ip"), (2999, 0, 3002, "remove"), (5990, 3, 6001, "phone")]
+    schema = "text string, spans array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
+    df = spark.createDataFrame([(text, spans), (text, []), (None, [])], schema)
+    out, end = [], 0
+    for start, _, stop, kind in spans:
+        if start >= end:
+            out += [text[end:start], "" if kind == "remove" else f"[{kind.upper()}]"]
+        end = max(end, stop)
+    got = [row[0] for row in df.select(privacy.sanitised(df["text"])).collect()]
+    assert got == ["".join(out) + text[end:], text, None]
+
+
 def test_sanitised_texts(docs_of):
     docs = docs_of([*_corpus(), None, "", "card 4111 1111 1111 1111 ip 10.0.0.1 +1 234 567 8901 end"])
     out = {row.doc_id: row for row in privacy.sanitise(docs).collect()}
