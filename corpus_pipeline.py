@@ -2,7 +2,7 @@
 
 Quality rules drop what they reject, exact and near copies keep one row of each group, personal data is
 taken out of the texts, and the rest is packed into sequences.  Rows without an id are kept or dropped
-like others; empty texts go in the first stage; an empty table passes through as one.
+like others, repeated rows are copies; empty texts go in the first stage; an empty table passes through as one.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm import exact_dedup, packing, privacy, quality_rules, simhash
-from gridtide.llm.common import read_table, without_rows
+from gridtide.llm.common import one_row_of_each, read_table, without_rows
 from gridtide.llm.queries import vocabulary
 from gridtide.session import scratch_path
 
@@ -23,14 +23,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each group of equal texts."""
-    return without_rows(docs, exact_dedup.exact_duplicates(docs).where("NOT kept"))
+    """The row with the smallest id of each group of equal texts, and only one where that id and text are repeated."""
+    found = exact_dedup.exact_duplicates(docs)
+    return one_row_of_each(docs, found.where("kept"), F.col("text_sha256"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each group of linked fingerprints."""
+    """The row with the smallest id of each group of linked fingerprints; one of each fingerprint where none has an id."""
     found = simhash.near_duplicates(docs)
-    return without_rows(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print "), F.col("fingerprint").cast("string")))
+    return one_row_of_each(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), group)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,6 +76,29 @@ def without_rows(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", te
     The plan is the same at every size: both sides meet by id and hash, and the narrow one is hashed in
     each task, so the texts move once and are not sorted.
     """
-    gone = stored(dropped.select(F.col(doc_id).alias("_gone_id"), F.col(ROW_HASH).alias("_gone_hash")), "dropped")
-    same = F.col(doc_id).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(whole_text(text)) == F.col("_gone_hash"))
-    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
+    own_id, own_hash = f"_id_{uuid.uuid4().hex}", f"_hash_{uuid.uuid4().hex}"
+    gone = stored(dropped.select(F.col(doc_id).alias(own_id), F.col(ROW_HASH).alias(own_hash)), "dropped")
+    return docs.join(gone.hint("shuffle_hash"), _is_row(doc_id, text, own_id, own_hash), "left_anti")
+
+
+def _is_row(doc_id: str, text: str, own_id: str, own_hash: str) -> Column:
+    return F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.xxhash64(whole_text(text)) == F.col(own_hash))
+
+
+def one_row_of_each(docs: DataFrame, staying: DataFrame, group: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each ``group`` of ``staying`` (id column and ``ROW_HASH``, rows that may stay for their group).
+
+    The row with the smallest id, then hash, stays; of rows equal in both any one, the others are alike.  Only rows that are
+    there several times are compared as a whole.
+    """
+    own_id, own_hash = f"_id_{uuid.uuid4().hex}", f"_hash_{uuid.uuid4().hex}"
+    row = F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), F.col(ROW_HASH).alias("hash"))
+    rows = staying.groupBy(group.alias("_group"), row.alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("_group").agg(F.min(F.struct("row", "n")).alias("first"))
+    chosen = first.select(F.col("first.row.id").alias(own_id), F.col("first.row.hash").alias(own_hash), "first.n").distinct()
+    chosen = stored(chosen, "staying")
+    same = _is_row(doc_id, text, own_id, own_hash)
+    once = docs.join(chosen.where("n = 1").hint("shuffle_hash"), same, "left_semi")
+    several = docs.join(chosen.where("n > 1").hint("shuffle_hash"), same, "left_semi")
+    numbered = several.withColumn(own_hash, F.xxhash64(whole_text(text)))
+    return once.unionByName(numbered.dropDuplicates([doc_id, own_hash]).drop(own_hash))

@@ -240,7 +240,8 @@ def _document_counts(docs: DataFrame, terms: DataFrame, known: DataFrame, text:
     bitmap = _bitmap(terms)
     likely = _terms_of(F.filter(_words(), lambda word: _passes(_as_term(word), bitmap)))
     lists = docs.select(whole_text(text).alias("_text")).select(_text_key("_text"), likely.alias("words"))
-    texts = lists.where(F.size("words") > 0).dropDuplicates(["text_key"]).join(known, "text_key", "left_anti")
+    # Without a filter on the lists, which would make Spark build them twice.
+    texts = lists.dropDuplicates(["text_key"]).join(known, "text_key", "left_anti")
     counted = texts.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counted.join(terms, "term")
 
@@ -256,8 +257,8 @@ def disclosing_terms(
     together.  A pair in fewer than ``min_texts`` units, or whose G statistic is below ``LEAST_G``, gives no estimate.
 
     Words of the units that hold an entity of ``min_texts`` units or more are first held against a bound that needs no
-    pairs, once by their count in these units and once by their count in the corpus; only those that can still
-    reach ``generalise_at`` are paired, and pairs are counted in each task before they move.
+    pairs; those that can still reach ``generalise_at`` are paired, counted in each task before they move, and held against
+    it by their count in these units.  Only the terms of pairs that remain are counted in the whole corpus.
     """
     texts = marked.select("text_key").distinct().count()
     held = marked.where(F.size("base") > 0).select("text_key", F.explode(_entities("base")).alias("entity")).distinct()
@@ -289,16 +290,21 @@ def disclosing_terms(
 
     near = unit_terms.join(known.select("unit", "widest"), "unit")
     around = near.groupBy("term").agg(F.count(F.lit(1)).alias("df_near"), F.max("widest").alias("widest"))
-    possible = stored(around.where((F.col("df_near") >= min_texts) & can_reach("df_near")).select("term", "widest"), "possible")
-    inside = unit_terms.join(possible, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    outside = _document_counts(docs, possible.select("term"), keys, text).select("term", "df")
-    counts = inside.unionByName(outside).groupBy("term").agg(F.sum("df").alias("df")).join(possible, "term")
-    counts = stored(counts.where(can_reach("df")).select("term", "df"), "counts")
-    pairs = unit_terms.join(counts.select("term"), "term").join(known, "unit").select("term", F.explode("known").alias("item"))
-    pairs = pairs.select("term", "item.*").groupBy("entity", "df_entity", "term").agg(F.count(F.lit(1)).alias("df_both"))
-    scored = pairs.where(F.col("df_both") >= min_texts).join(counts, "term")
-    mutual = F.log(count * F.col("df_both") / (F.col("df_entity") * F.col("df")))
-    scored = scored.withColumn("disclosure", mutual / F.log(count / F.col("df_entity")))
+    possible = around.where((F.col("df_near") >= min_texts) & can_reach("df_near")).select("term", "df_near")
+    pairs = unit_terms.join(possible, "term").join(known, "unit").select("term", "df_near", F.explode("known").alias("item"))
+    pairs = pairs.select("term", "df_near", "item.*").groupBy("entity", "df_entity", "term", "df_near").agg(F.count(F.lit(1)).alias("df_both"))
+
+    def disclosure(df: str) -> Column:
+        return F.log(count * F.col("df_both") / (F.col("df_entity") * F.col(df))) / F.log(count / F.col("df_entity"))
+
+    # No term is in fewer texts than near the entities, so a pair that fails with that count fails with the whole one.
+    pairs = pairs.where((F.col("df_both") >= min_texts) & (disclosure("df_near") >= generalise_at - 1e-9))
+    pairs = stored(pairs, "pairs")
+    wanted = stored(pairs.select("term").distinct(), "wanted")
+    inside = unit_terms.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    outside = _document_counts(docs, wanted, keys, text).select("term", "df")
+    counts = inside.unionByName(outside).groupBy("term").agg(F.sum("df").alias("df"))
+    scored = pairs.join(counts, "term").withColumn("disclosure", disclosure("df"))
     meant = _surprise(F.col("df_both"), F.col("df_entity"), F.col("df"), count) >= LEAST_G
     return scored.where(meant & (F.col("disclosure") >= generalise_at)).select("entity", "term", "disclosure")
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from gridtide.llm.windows import beside, bucketed_texts, first_copies, joined_by
 
 WINDOW = 20
 FIRST = 5
+LONG_WORD = 256  # bytes
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -46,7 +48,11 @@ class WordHashes:
 
     def words(self, stream: int) -> np.ndarray:
         own = rolling(stream)
-        return own.runs(own.prefix(own.table[self.raw]), self.starts, self.ends)
+        out = own.runs(own.prefix(own.table[self.raw]), self.starts, self.ends)
+        # A polynomial modulo 2**64 meets itself in patterns of 1,024 symbols and more, whatever its base.
+        for place in np.flatnonzero(self.ends - self.starts > LONG_WORD):
+            out[place] = xxhash.xxh64_intdigest(self.raw[self.starts[place] : self.ends[place]].tobytes(), stream)
+        return out
 
     def chosen(self, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the windows of ``size`` words, and which of them stands for each whole window."""

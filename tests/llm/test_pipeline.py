@@ -71,3 +71,19 @@ def test_empty_table(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, tables)
         assert docs.collect() == []
+
+
+def test_repeated_rows_and_odd_columns(spark, tables):
+    """A table loaded twice gives what it gives once, whatever its other columns are called."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, spans string, _id string, fingerprint string, kept string"
+    rows = [(1, "a b c"), (1, "a b c"), (1, "a  b c"), (2, "a b c"), (None, "n o"), (None, "n  o"), (None, "n o"), (3, None), (4, "")]
+    rows += [(5, "mail me@here.example now"), (5, "mail me@here.example now"), (6, "other words of its own")]
+    docs = spark.createDataFrame([(i, text, "en", "s", 1, "x", "y", "z", "k") for i, text in rows], schema)
+    single = corpus_pipeline.drop_copies(spark, docs, tables)
+    assert single.columns == docs.columns
+    kept = sorted((str(row.doc_id), row.text) for row in single.select("doc_id", "text").fillna("").collect())
+    assert [i for i, _ in kept] == ["1", "3", "5", "6", "None"] and kept[0][1] in ("a b c", "a  b c")
+    near = corpus_pipeline.drop_near_copies(spark, docs, tables)
+    assert near.columns == docs.columns and near.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").count() == 0
+    hidden = corpus_pipeline.hide_personal_data(spark, docs, tables)
+    assert hidden.columns == docs.columns and hidden.where("text LIKE '%[EMAIL]%' AND spans = 'x'").count() == 2

@@ -37,3 +37,12 @@ def test_repeated_rows_null_ids_and_empty_table(docs_of):
     rows = substrings.without_repeats(docs_of([(2, text), (2, text), (None, text), (1, "z " + text)])).collect()
     assert sorted((row.doc_id or 0, row.n_removed) for row in rows) == [(0, 0), (1, 25), (2, 25), (2, 25)]
     assert _found(docs_of([])) == {}
+
+
+def test_long_words_of_the_thue_morse_order_differ(docs_of):
+    """A polynomial hash modulo a power of two cannot tell these two words apart."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    words = ["".join("ab"[bit ^ flip] for bit in bits) for flip in (0, 1)]
+    rest = " ".join(f"w{i}" for i in range(19))
+    done = substrings.without_repeats(docs_of([f"{word} {rest}" for word in words] + [f"{words[0]} {rest}"]))
+    assert sorted((row.doc_id, row.n_removed) for row in done.collect()) == [(0, 0), (1, 0), (2, 20)]
