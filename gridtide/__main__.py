@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from gridtide.plans import stages
 from gridtide.plans.training import TrainingSpec, save_predictions, train
 from gridtide.session import build_session
-from gridtide.sources.files import read_parquet, write_parquet
+from gridtide.sources.files import read_parquet, replace_parquet
 from gridtide.sources.spec import SourceSpec
 
 logger = logging.getLogger(__name__)
@@ -37,7 +37,7 @@ def run_training(spark, specs: Sequence[SourceSpec], layout: stages.Layout, spec
         stored = read_parquet(spark, layout.features(source.name), "preprocessing")
         result = train(stored, spec)
         save_predictions(result, layout.predictions(source.name))
-        write_parquet(result.scores, layout.scores(source.name))
+        replace_parquet(result.scores, layout.scores(source.name))
         logger.info("%s: best %s, cross-validated MAE %.3f", source.name, result.best, result.cv_mae)
 
 

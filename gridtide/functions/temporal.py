@@ -79,12 +79,20 @@ def month_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def in_month(ts: Column, month: str, dtype: T.DataType) -> Column:
-    """``month_text(ts) == month`` written as a half-open range the file scan can use."""
+def in_month(ts: Column, month: str, dtype: T.DataType, ahead: str | None = None) -> Column:
+    """``month_text(ts) == month`` in UTC, written as a half-open range the file scan can use.
+
+    With ``ahead``, a duration, the month is that of ``ts + ahead``: the bounds move instead of the column, so
+    that the range on a computed time still meets the stored one.
+    """
     match = re.fullmatch(r"(\d{4})-(0[1-9]|1[0-2])", month)
     if not match:
         raise ValueError(f"Not a YYYY-MM month: {month!r}")
     year, number = int(match.group(1)), int(match.group(2))
     following = f"{year + number // 12:04d}-{number % 12 + 1:02d}"
-    kind = dtype.simpleString()
-    return (ts >= F.lit(f"{month}-01 00:00:00").cast(kind)) & (ts < F.lit(f"{following}-01 00:00:00").cast(kind))
+    # An instant is compared with the UTC month whatever the zone of the session.
+    zone = "+00:00" if isinstance(dtype, T.TimestampType) else ""
+    first, after = (F.lit(f"{name}-01 00:00:00{zone}").cast(dtype.simpleString()) for name in (month, following))
+    if ahead is not None:
+        first, after = first - duration(ahead), after - duration(ahead)
+    return (ts >= first) & (ts < after)

@@ -15,7 +15,7 @@ from gridtide.plans.event_tables import EVENTS, MONTH, events, raw_load, samples
 from gridtide.plans.stages import Layout, run_all
 from gridtide.plans.training import TrainingSpec, chronological_split, train
 from gridtide.session import scratch_path
-from gridtide.sources.files import read_csv, read_parquet, write_parquet
+from gridtide.sources.files import count_rows, read_csv, read_parquet, write_parquet
 from gridtide.sources.tables import drop_table, replace_table, run_sql, table_stats
 from gridtide.streaming import rules
 
@@ -118,13 +118,13 @@ def load_melt(spark, sf_dir):
 
 @query
 def series_targets(spark, sf_dir):
-    long = marts.to_long(staged_load(spark, sf_dir), marts.TARGET_SERIES)
+    long = marts.to_long(staged_load(spark, sf_dir, MONTH), marts.TARGET_SERIES)
     return marts.series_in_month(long, marts.TARGET_SERIES, MONTH)
 
 
 @query
 def series_features(spark, sf_dir):
-    long = marts.to_long(staged_load(spark, sf_dir), marts.FEATURE_SERIES)
+    long = marts.to_long(staged_load(spark, sf_dir, MONTH), marts.FEATURE_SERIES)
     return marts.series_in_month(long, marts.FEATURE_SERIES, MONTH)
 
 
@@ -480,6 +480,49 @@ def table_replace(spark, sf_dir):
     return spark.createDataFrame([(stats["rows"], stats["columns"])], "row_count bigint, column_count bigint")
 
 
+@query
+def table_replace_failed(spark, sf_dir):
+    """What a table holds after a replacement of it has failed in the middle of the write."""
+    path = scratch_path(spark, "table")
+    name = "gridtide_" + path.rsplit("-", 1)[1]
+    kept = events(spark, sf_dir).select("event_id", "value")
+    replace_table(kept, name, path)
+    broken = kept.where(F.when(F.col("event_id") % 7 == 3, F.raise_error(F.lit("planted fault"))).isNull())
+    try:
+        replace_table(broken, name, path)
+    except Exception as err:
+        if "planted fault" not in str(err):
+            raise
+    else:
+        raise RuntimeError("The planted fault did not stop the write.")
+    shown = scratch_path(spark, "kept")
+    write_parquet(spark.table(name), shown)
+    drop_table(spark, name)
+    return read_parquet(spark, shown)
+
+
+@query
+def table_replace_self(spark, sf_dir):
+    """A table replaced twice by a query on itself."""
+    path = scratch_path(spark, "table")
+    name = "gridtide_" + path.rsplit("-", 1)[1]
+    replace_table(events(spark, sf_dir).select("event_id", "value"), name, path)
+    for _ in range(2):
+        replace_table(spark.table(name).where("event_id % 3 > 0").withColumn("event_id", F.col("event_id") + 1), name, path)
+    drop_table(spark, name)
+    return read_parquet(spark, path)
+
+
+@query
+def footer_counts(spark, sf_dir):
+    """Rows of the written tables from their file footers."""
+    root = scratch_path(spark, "counted")
+    write_parquet(events(spark, sf_dir), f"{root}/plain")
+    write_parquet(events(spark, sf_dir), f"{root}/parts", partition_by=["event_type"])
+    counted = [count_rows(spark, path).withColumn("layout", F.lit(path.rsplit("/", 1)[1])) for path in (f"{root}/plain", f"{root}/parts")]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def sql_text(spark, sf_dir):
     return run_sql(

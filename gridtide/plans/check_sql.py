@@ -226,6 +226,11 @@ SQL: dict[str, str] = {
             'wind_offshore', 'forecast_error']) AS names(series)
         GROUP BY series""",
     "table_replace": "SELECT COUNT(*) AS row_count, CAST(2 AS BIGINT) AS column_count FROM events",
+    "table_replace_failed": "SELECT event_id, value FROM events",
+    "table_replace_self": """
+        SELECT event_id + 2 AS event_id, value FROM events WHERE event_id % 3 > 0 AND (event_id + 1) % 3 > 0""",
+    "footer_counts": """
+        SELECT COUNT(*) AS rows, 'plain' AS layout FROM events UNION ALL SELECT COUNT(*), 'parts' FROM events""",
     "sql_text": f"""
         WITH {_WIDE} SELECT CAST(time AS DATE) AS day, COUNT(*) AS row_count, MAX(load_actual) AS peak_load
         FROM wide WHERE load_actual >= 10 GROUP BY day""",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridtide.operators.ordered import ROWS_PER_BLOCK, OrderedBlocks, total_order
 from gridtide.operators.quality import forecast_scores
 from gridtide.session import scratch_path
-from gridtide.sources.files import read_parquet, write_parquet
+from gridtide.sources.files import read_parquet, replace_parquet, write_parquet
 
 # Configuration names and the regressor parameters they set.  The minimum rows to split a node
 # has no counterpart; the minimum rows per child is the nearest.
@@ -126,4 +126,4 @@ def train(df: DataFrame, spec: TrainingSpec = TrainingSpec(), parallelism: int =
 
 
 def save_predictions(result: TrainingResult, path: str) -> int:
-    return write_parquet(result.predictions, path)
+    return replace_parquet(result.predictions, path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridtide.operators.wide import stage
 from gridtide.session import scratch_path, scratch_root
 from gridtide.sources import jdbc, tables
-from gridtide.sources.files import read_csv, read_parquet, write_parquet
+from gridtide.sources.files import count_rows, newest_version, read_csv, read_parquet, replace_parquet, write_parquet
 from gridtide.sources.spec import SourceSpec, power_load_source
 
 COLUMNS = (("measured_at", "time"), ("megawatts", "load_actual"))
@@ -81,7 +81,7 @@ def test_parquet_export_counts_and_replaces(spark, tmp_path):
     assert read_parquet(spark, path).count() == 40
     assert all(name.endswith(".zstd.parquet") for name in map(str, (tmp_path / "out").glob("part-*")))
     assert write_parquet(spark.range(0), path) == 0
-    with pytest.raises(FileNotFoundError, match="Run ingestion first"):
+    with pytest.raises(FileNotFoundError, match="comes from ingestion"):
         read_parquet(spark, str(tmp_path / "none"), "ingestion")
 
 
@@ -97,6 +97,63 @@ def test_tables(spark, tmp_path):
             tables.drop_table(spark, name)
 
 
+def _broken(df):
+    return df.where(F.when(F.col("id") == 3, F.raise_error(F.lit("planted fault"))).isNull())
+
+
+def test_a_failed_replacement_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "it's")
+    tables.replace_table(spark.range(5), "gt_kept", path)
+    replace_parquet(spark.range(9), f"{path}/plain")
+    with pytest.raises(Exception, match="planted fault"):
+        tables.replace_table(_broken(spark.range(9).withColumn("x", F.lit(1))), "gt_kept", path)
+    with pytest.raises(Exception, match="planted fault"):
+        replace_parquet(_broken(spark.range(4)), f"{path}/plain")
+    assert spark.table("gt_kept").columns == ["id"]
+    assert tables.table_stats(spark, "gt_kept") == {"rows": 5, "columns": 1}
+    assert read_parquet(spark, f"{path}/plain").count() == 9
+    assert len(list((tmp_path / "it's" / "plain").iterdir())) == 1
+    tables.drop_table(spark, "gt_kept")
+
+
+def test_a_version_without_its_mark_is_not_read(spark, tmp_path):
+    """As a lost driver leaves it; the next replacements clear it away."""
+    path = str(tmp_path / "t")
+    replace_parquet(spark.range(9), path)
+    lost = tmp_path / "t" / "version-000000002-00000000"
+    write_parquet(spark.range(3), str(lost))
+    (lost / "_SUCCESS").unlink()
+    assert read_parquet(spark, path).count() == 9
+    for rows in (5, 4):
+        assert replace_parquet(read_parquet(spark, path).limit(rows), path) == rows
+    assert not lost.exists() and len(list((tmp_path / "t").iterdir())) == 2
+    assert newest_version(spark, path).endswith(sorted(part.name for part in (tmp_path / "t").iterdir())[-1])
+
+
+def test_a_table_may_read_itself_and_running_readers_keep_their_files(spark, tmp_path):
+    tables.replace_table(spark.range(8), "gt_self", str(tmp_path / "t"))
+    early = spark.table("gt_self")
+    tables.replace_table(early.where("id % 2 = 0"), "gt_self", str(tmp_path / "t"))
+    assert [early.count(), spark.table("gt_self").count()] == [8, 4]
+    tables.drop_table(spark, "gt_self")
+
+
+def test_a_table_in_the_warehouse_goes_with_its_files(spark):
+    tables.replace_table(spark.range(8), "gt_own")
+    root = tables._made_here(spark, "gt_own")["root"]
+    tables.drop_table(spark, "gt_own")
+    assert not spark.catalog.tableExists("gt_own") and newest_version(spark, root) is None
+
+
+def test_rows_are_counted_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_parquet(spark.range(50).withColumn("k", F.col("id") % 3), path, partition_by=["k"])
+    counted = count_rows(spark, path)
+    assert "PushedAggregation: [COUNT(*)]" in plan_of(counted)
+    assert counted.first()["rows"] == 50
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
 def test_sql_and_bounded_fetch(spark):
     df = tables.run_sql(spark, "SELECT id FROM {t} WHERE id < :top", {"t": spark.range(10)}, top=3)
     assert list(tables.fetch_frame(df, max_rows=3)["id"]) == [0, 1, 2]

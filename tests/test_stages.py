@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridtide import __main__ as command
 from gridtide.plans import stages
 from gridtide.plans.training import TrainingSpec, chronological_split, save_predictions, train
+from gridtide.sources.files import read_parquet
 from gridtide.sources.spec import POWER_LOAD_COLUMNS, power_load_source
 
 
@@ -32,10 +33,10 @@ def test_whole_run(spark, tmp_path):
         done = stages.run_all(spark, sources, layout)
         assert done["ingestion"] == done["preprocessing"] == {"north": 72, "south": 30}
         assert done["marts"] == {"north": {"daily_peak": 3, "long": 504}, "south": {"daily_peak": 2, "long": 210}}
-    assert len(spark.read.parquet(layout.features("north")).columns) == 13
-    quality = spark.read.parquet(layout.quality("north")).first()
+    assert len(read_parquet(spark, layout.features("north")).columns) == 13
+    quality = read_parquet(spark, layout.quality("north")).first()
     assert (quality.total_rows, quality.null_counts, quality.min_load_mw) == (72, 7, 40000.0)
-    peak = spark.read.parquet(layout.daily_peak("north")).orderBy("day").first()
+    peak = read_parquet(spark, layout.daily_peak("north")).orderBy("day").first()
     assert (peak.day, peak.peak_load, peak.peak_time) == (dt.date(2015, 1, 1), 42300.0, "23:00")
 
 
@@ -47,11 +48,11 @@ def test_command_line(spark, tmp_path, monkeypatch):
     for name in ("ingestion", "preprocessing", "marts"):
         command.main([name, "--sources", str(tmp_path / "sources.json"), "--root", f"{tmp_path}/out/"])
     layout = stages.Layout(f"{tmp_path}/out")
-    assert spark.read.parquet(layout.daily_peak("load")).count() == 2
+    assert read_parquet(spark, layout.daily_peak("load")).count() == 2
     grid = {"n_estimators": [2], "max_depth": [2], "min_samples_split": [1], "learning_rate": [0.3]}
     sources = command.read_sources(str(tmp_path / "sources.json"))
     command.run_training(spark, sources, layout, TrainingSpec(grid=grid))
-    assert spark.read.parquet(layout.scores("load")).first().scored_rows == 9
+    assert read_parquet(spark, layout.scores("load")).first().scored_rows == 9
 
 
 def test_one_failing_source_does_not_stop_the_rest(spark, tmp_path):
@@ -66,14 +67,14 @@ def test_one_failing_source_does_not_stop_the_rest(spark, tmp_path):
         stages.run_preprocessing(spark, [bad, good], layout)
     with pytest.raises(RuntimeError, match=r"Marts: 1 of 2 sources not done, \['bad'\]"):
         stages.run_marts(spark, [bad, good], layout)
-    assert spark.read.parquet(layout.daily_peak("ok")).count() == 1
+    assert read_parquet(spark, layout.daily_peak("ok")).count() == 1
 
 
 def test_stage_needs_the_stage_before(spark, tmp_path):
     layout, source = stages.Layout(str(tmp_path)), power_load_source("x.csv")
-    with pytest.raises(FileNotFoundError, match="Run ingestion first"):
+    with pytest.raises(FileNotFoundError, match="comes from ingestion"):
         stages.run_preprocessing(spark, [source], layout)
-    with pytest.raises(FileNotFoundError, match="Run preprocessing first"):
+    with pytest.raises(FileNotFoundError, match="comes from preprocessing"):
         stages.run_marts(spark, [source], layout)
     with pytest.raises(RuntimeError, match="Could not build the features of 'load'"):
         stages.prepare_source(spark, source, layout)

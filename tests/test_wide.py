@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridtide.functions.numeric import ieee_divide, with_unit
 from gridtide.functions.temporal import in_month, seconds_of, utc_instant, utc_wall_clock
 from gridtide.operators import marts, quality, wide
+from gridtide.plans.catalog import QUERIES
 from gridtide.plans.event_tables import staged_load
 from gridtide.sources.spec import SourceSpec
 
@@ -80,6 +81,21 @@ def test_month_range_reaches_the_stored_scan(spark, sf_dir, tmp_path):
     assert ", In(" in plan
 
 
+@pytest.mark.parametrize("name", ["series_targets", "series_features"])
+def test_month_range_reaches_the_scan_through_a_computed_time(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert "GreaterThanOrEqual(ts,2024-01-12T00:00)" in plan and "LessThan(ts,2024-02-10T00:00)" in plan
+
+
+def test_month_of_an_instant_is_a_utc_month(spark):
+    rows = spark.sql("SELECT TIMESTAMP '2024-02-01 00:30:00+00:00' AS ts")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows.where(in_month(F.col("ts"), "2024-02", rows.schema["ts"].dataType)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_month_edges(spark):
     times = ["2014-12-31 23:59:59", "2015-01-01 00:00:00", "2015-12-31 23:59:59", "2016-01-01 00:00:00"]
     df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
