@@ -6,10 +6,11 @@ one window partition:
 
 * the key holds all order columns, so a time (or series) that holds a large share of the rows
   is cut between its rows by the later columns;
-* rows equal in the whole key cannot be cut.  Blocks that are heavy for this reason are
-  collapsed to (row, number of copies) with map-side aggregation first, see ``lag``;
+* rows equal in the whole key cannot be cut.  A key that fills more than a block gets a block of its
+  own, which is collapsed to (row, number of copies) with map-side aggregation first, see ``lag``;
 * rows near a block start see the last rows of earlier blocks through a halo: at most
   ``max offset`` rows per block, found by a top-n per block that is limited before its shuffle.
+  Only the band above a sampled key shortly before the end of each block is ranked for it.
 
 The cut keys are constants once fitted, so recomputed tasks put every row in the same block.
 The sample only places the cuts; results do not depend on it.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -30,12 +32,14 @@ BLOCK = "_order_block"
 _KEY = "_order_key"
 _HALO = "_order_halo"
 _RANK = "_order_rank"
+_PART = "_order_part"
 COPIES = "_order_copies"
 
 ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 20_000  # bounds cut keys in a plan, shuffle partitions and rows of every per-block table
 _MAX_SAMPLE = 1_000_000
 _EXPAND_CHUNK = 100_000
+_DEPTHS = (1, 8, 24)  # distances before a cut at which sampled keys are kept
 
 # Cut keys pass through JSON text; these formats keep every microsecond.
 _JSON = {
@@ -55,12 +59,19 @@ class OrderedBlocks:
 
     order_by: tuple[str, ...]
     key_type: T.StructType
-    cuts: tuple[str, ...]  # JSON text of each cut key, ascending
-    heavy: frozenset[int]  # blocks that start with a key too frequent to be cut
+    cuts: tuple[str, ...] = ()  # JSON text of each cut key, ascending
+    split: tuple[int, ...] = ()  # cuts, counted from 1, whose key has a block to itself
+    spare: tuple[int, ...] = ()  # blocks that the copies of each such key fill beyond that; none once collapsed
+    sampled: tuple[tuple[str | None, ...], ...] = ()  # see ``_near_end``; one list per depth of ``_DEPTHS``
 
     @property
     def blocks(self) -> int:
-        return len(self.cuts) + 1
+        return len(self.cuts) + 1 + len(self.split)
+
+    @property
+    def heavy(self) -> dict[int, int]:
+        """Blocks of a single key that is too frequent to be cut, with their spare blocks."""
+        return {cut + before: spare for before, (cut, spare) in enumerate(zip(self.split, self.spare))}
 
     @classmethod
     def fit(cls, df: DataFrame, order_by: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> OrderedBlocks:
@@ -77,33 +88,50 @@ class OrderedBlocks:
         parallel = max(2, df.sparkSession.sparkContext.defaultParallelism)
         blocks = min(max(math.ceil(rows / rows_per_block), parallel), MAX_BLOCKS, rows)
         if blocks <= 1:
-            return cls(tuple(order_by), key_type, (), frozenset())
+            return cls(tuple(order_by), key_type)
         wanted = min(blocks * 100, _MAX_SAMPLE)
         drawn = keyed if wanted >= rows else keyed.sample(False, wanted / rows, seed=17)
         ordered = drawn.agg(F.sort_array(F.collect_list(_KEY)).alias("keys"))
 
-        def key_text(i: Column) -> Column:
+        def picked(i: Column) -> Column:
+            """The cut key, the sampled key before it, and those ``_DEPTHS`` places before it, all as text."""
             place = F.floor(i.cast("long") * F.size("keys") / F.lit(blocks)).cast("int")
-            return F.to_json(F.get("keys", place), _JSON)
+            key = {f"b{depth}": F.get("keys", place - depth) for depth in (0, 1, *_DEPTHS)}
+            return F.struct(place.alias("place"), *[F.to_json(value, _JSON).alias(name) for name, value in key.items()])
 
-        picked = ordered.select(F.transform(F.sequence(F.lit(1), F.lit(blocks - 1)), key_text)).first()[0]
+        found = ordered.select(F.transform(F.sequence(F.lit(1), F.lit(blocks - 1)), picked)).first()[0]
         cuts: list[str] = []
-        heavy: set[int] = set()
-        for text in picked:
-            if text is None:
+        spare: dict[int, int] = {}
+        bands: list[list[str | None]] = []
+        start = 0
+        for key in found:
+            if key.b0 is None:
+                continue
+            if cuts and cuts[-1] == key.b0:
+                spare[len(cuts)] = spare.get(len(cuts), 0) + 1
+                start = key.place + 1
                 continue
-            if cuts and cuts[-1] == text:
-                heavy.add(len(cuts))
-            else:
-                cuts.append(text)
-        return cls(tuple(order_by), key_type, tuple(cuts), frozenset(heavy))
+            alone = len(cuts) in spare
+            if alone:
+                bands.append([None] * len(_DEPTHS))
+            # Sampled keys are rows, so at least `depth` rows of this block lie at or above the one `depth`
+            # places before its end.  That is not known where either end falls among equal keys.
+            known = key.b1 is not None and key.b1 != key.b0
+            reached = [key[f"b{depth}"] if known and key.place - depth >= start else None for depth in _DEPTHS]
+            bands.append([None if alone and text == cuts[-1] else text for text in reached])
+            cuts.append(key.b0)
+            start = key.place
+        if len(cuts) in spare:
+            bands.append([None] * len(_DEPTHS))
+        return cls(tuple(order_by), key_type, tuple(cuts), tuple(spare), tuple(spare.values()), tuple(zip(*bands)))
 
     def collapsed(self) -> OrderedBlocks:
         """The same cuts for a frame from ``collapse_copies``, which has no heavy blocks."""
-        return replace(self, heavy=frozenset())
+        return replace(self, spare=())
 
     def attach(self, df: DataFrame) -> DataFrame:
-        """Add the block of every row: the number of cut keys at or below its key.
+        """Add the block of every row: the number of cut keys at or below its key, where a key with a block to
+        itself counts once more for the keys above it.
 
         A bisection, one projection per level so that each level is evaluated once and compiled
         into the scan's stage.  The level with stride ``s`` only ever looks at every 2s-th cut.
@@ -115,8 +143,25 @@ class OrderedBlocks:
             table = F.from_json(F.lit(level), T.ArrayType(self.key_type), _JSON)
             passed = F.get(table, F.shiftright(BLOCK, bit + 1)) <= F.col(_KEY)
             out = out.withColumn(BLOCK, F.col(BLOCK) + F.when(passed, stride).otherwise(0))
+        if self.split:
+            alone = set(self.split)
+            before = _constants([bisect_left(self.split, cut) for cut in range(len(self.cuts) + 1)])
+            own = ",".join(["null", *[text if cut in alone else "null" for cut, text in enumerate(self.cuts, 1)]])
+            key = F.get(F.from_json(F.lit(f"[{own}]"), T.ArrayType(self.key_type), _JSON), F.col(BLOCK))
+            above = F.when(key < F.col(_KEY), 1).otherwise(0)
+            out = out.withColumn(BLOCK, F.col(BLOCK) + F.get(before, F.col(BLOCK)) + above)
         return out.drop(_KEY)
 
+    def _near_end(self, depth: int) -> Column:
+        """Rows of all blocks but the last, that may be among the ``depth`` last ones of their block."""
+        inside = F.col(BLOCK) < self.blocks - 1
+        reach = next((number for number, known in enumerate(_DEPTHS) if known >= depth), None)
+        if reach is None or not self.sampled:
+            return inside
+        starts = f"[{','.join(text or 'null' for text in self.sampled[reach])}]"
+        start = F.get(F.from_json(F.lit(starts), T.ArrayType(self.key_type), _JSON), F.col(BLOCK))
+        return inside & F.coalesce(start <= _key(self.order_by), F.lit(True))
+
     def _halo(self, blocked: DataFrame, depth: int, columns: Sequence[str]) -> DataFrame:
         """For every block, the ``depth`` rows that precede it, as rows of that block.
 
@@ -124,7 +169,9 @@ class OrderedBlocks:
         """
         newest = Window.partitionBy(BLOCK).orderBy(*[F.col(name).desc() for name in self.order_by])
         tails = (
-            blocked.select(BLOCK, *dict.fromkeys([*self.order_by, *columns]))
+            _settled(blocked)
+            .where(self._near_end(depth))
+            .select(BLOCK, *dict.fromkeys([*self.order_by, *columns]))
             .withColumn(_RANK, F.row_number().over(newest))
             .where(F.col(_RANK) <= depth)
         )
@@ -140,36 +187,54 @@ class OrderedBlocks:
     def lag(self, df: DataFrame, lags: Mapping[str, tuple[str, int]], keep_blocks: bool = False) -> DataFrame:
         """Add ``{new: (column, offset)}`` as the value ``offset`` rows earlier in the order.
 
-        Each copy of a row repeated more than ``max offset`` times has its own values at every
-        offset, so for heavy blocks only the first copies pass through the window and the rest
-        are written back around it.  Apart from those, the result is in order within and across
-        its partitions, so writing it gives files in order.
+        The result is in order within and across its partitions, so writing it gives files in order.
+
+        Each copy of a row repeated more than ``max offset`` times has its own values at every offset, so
+        of a heavy block only the first copies pass through the window.  The rest travel as (row, copies)
+        in chunks, dealt over the spare partitions that follow the block, and grow to rows there.
         """
         depth = max((offset for _, offset in lags.values()), default=0)
         if depth < 1 or min(offset for _, offset in lags.values()) < 1:
             raise ValueError("Lag offsets must be at least 1.")
-        blocked = self.attach(df)
-        main, rest = blocked, None
+        main = self.attach(df)
+        part, rest = BLOCK, None
         if self.heavy:
+            blocked = _settled(main)
             in_heavy = F.col(BLOCK).isin(sorted(self.heavy))
             counted = collapse_copies(blocked.where(in_heavy))
             few = _repeat(counted.withColumn(COPIES, F.least(COPIES, F.lit(depth).cast("long"))))
             main = blocked.where(~in_heavy).unionByName(few)
-            many = counted.where(F.col(COPIES) > depth).withColumn(COPIES, F.col(COPIES) - depth)
-            rest = restore_copies(many).withColumns({new: F.col(column) for new, (column, _) in lags.items()})
+            rest = _in_chunks(counted.where(F.col(COPIES) > depth).withColumn(COPIES, F.col(COPIES) - depth))
         if self.cuts:
-            halo = self._halo(blocked, depth, sorted({column for column, _ in lags.values()}))
+            halo = self._halo(main, depth, sorted({column for column, _ in lags.values()}))
             main = main.withColumn(_HALO, F.lit(False)).unionByName(
                 halo.withColumn(_HALO, F.lit(True)), allowMissingColumns=True
             )
+            parts = self.blocks
+            if rest is not None:
+                part = _PART
+                # Every block comes after the spare partitions of all heavy blocks before it.
+                places = [0]
+                for block in range(self.blocks):
+                    places.append(places[-1] + 1 + self.heavy.get(block, 0))
+                spare = _constants([self.heavy.get(block, 0) for block in range(self.blocks)])
+                parts, place = places.pop(), F.get(_constants(places), F.col(BLOCK))
+                dealt = (place + 1 + F.col(_RANK) % F.get(spare, F.col(BLOCK))).cast("int")
+                main = main.withColumn(part, place).unionByName(
+                    rest.withColumn(part, dealt).drop(_RANK).withColumn(_HALO, F.lit(False)), allowMissingColumns=True
+                )
             # Partition i is block i: one block per task, and partitions follow the order.
-            main = main.repartitionById(self.blocks, BLOCK)
-        window = Window.partitionBy(BLOCK).orderBy(*self.order_by)
-        lagged = main.withColumns({new: F.lag(column, offset).over(window) for new, (column, offset) in lags.items()})
-        if self.cuts:
-            lagged = lagged.where(~F.col(_HALO)).drop(_HALO)
+            main = main.repartitionById(parts, part)
+        window = Window.partitionBy(part).orderBy(*self.order_by)
+        values = {new: F.lag(column, offset).over(window) for new, (column, offset) in lags.items()}
+        lagged = main.withColumns(values)
         if rest is not None:
-            lagged = lagged.unionByName(rest)
+            alone = {new: F.when(F.col(COPIES).isNull(), F.col(new)).otherwise(F.col(old)) for new, (old, _) in lags.items()}
+            copies = F.sequence(F.lit(1).cast("long"), F.coalesce(COPIES, F.lit(1).cast("long")))
+            lagged = lagged.where(~F.col(_HALO)).withColumns(alone)
+            lagged = lagged.withColumn(_RANK, F.explode(copies)).drop(_HALO, _RANK, COPIES, part)
+        elif self.cuts:
+            lagged = lagged.where(~F.col(_HALO)).drop(_HALO)
         return lagged if keep_blocks else lagged.drop(BLOCK)
 
     def last_seen(self, blocked: DataFrame, column: str, out: str) -> DataFrame:
@@ -239,6 +304,19 @@ class OrderedBlocks:
         return _key(self.order_by) <= key
 
 
+def _constants(numbers: Sequence[int]) -> Column:
+    return F.from_json(F.lit(str(list(numbers))), T.ArrayType(T.IntegerType()))
+
+
+def _settled(blocked: DataFrame) -> DataFrame:
+    """The same rows, with blocks that later filters read instead of working them out again.
+
+    A filter moves below projections, where every level of ``attach`` would be spelled out within the next;
+    it does not move below a generator.
+    """
+    return blocked.withColumn(BLOCK, F.explode(F.array(BLOCK)))
+
+
 def _repeat(counted: DataFrame) -> DataFrame:
     numbers = F.sequence(F.lit(1).cast("long"), F.col(COPIES))
     return counted.withColumn(_RANK, F.explode(numbers)).drop(_RANK, COPIES)
@@ -251,15 +329,17 @@ def collapse_copies(df: DataFrame) -> DataFrame:
 
 def restore_copies(counted: DataFrame) -> DataFrame:
     """Undo ``collapse_copies``; chunks of a long run are dealt over tasks before they grow."""
+    columns = [name for name in counted.columns if name != COPIES]
+    return _repeat(_in_chunks(counted).repartition(*columns, _RANK).drop(_RANK))
+
+
+def _in_chunks(counted: DataFrame) -> DataFrame:
+    """Rows with many copies as several rows with at most ``_EXPAND_CHUNK`` each, numbered from 0."""
     chunk = F.lit(_EXPAND_CHUNK).cast("long")
     last = F.ceil(F.col(COPIES) / chunk).cast("long") - 1
-    columns = [name for name in counted.columns if name != COPIES]
-    dealt = (
-        counted.withColumn(_RANK, F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .withColumn(COPIES, F.least(chunk, F.col(COPIES) - F.col(_RANK) * chunk))
-        .repartition(*columns, _RANK)
+    return counted.withColumn(_RANK, F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn(
+        COPIES, F.least(chunk, F.col(COPIES) - F.col(_RANK) * chunk)
     )
-    return _repeat(dealt.drop(_RANK))
 
 
 def total_order(df: DataFrame, order_by: Sequence[str], tiebreak: Sequence[str] | None = None) -> list[str]:
@@ -283,7 +363,7 @@ def global_lag(
 
     ``tiebreak`` names columns that make the order unique.  Without it all other columns take
     part, so only rows equal in every column stay tied and the result is still determined.
-    ``df`` is read three times (count, cut keys, halo) before the main pass: hand in a scan or
+    The result is in order across its partitions.  ``df`` is read three times (count, cut keys, halo) before the main pass: hand in a scan or
     a stored table, not an expensive plan.  Nulls in order columns sort first.
     """
     blocks = OrderedBlocks.fit(df, total_order(df, order_by, tiebreak), rows_per_block)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridtide.functions.labels import label, label_is, label_is_not, label_matches, label_matches_not
@@ -15,7 +15,7 @@ from gridtide.plans.event_tables import EVENTS, MONTH, events, raw_load, samples
 from gridtide.plans.stages import Layout, run_all
 from gridtide.plans.training import TrainingSpec, chronological_split, train
 from gridtide.session import scratch_path
-from gridtide.sources.files import count_rows, read_csv, read_parquet, write_parquet
+from gridtide.sources.files import count_rows, read_csv, read_parquet, replace_parquet, write_parquet
 from gridtide.sources.tables import drop_table, replace_table, run_sql, table_stats
 from gridtide.streaming import rules
 
@@ -66,6 +66,49 @@ def features_lag_blocks(spark, sf_dir):
     return wide.features(staged, tiebreak=["event_id"], rows_per_block=2_000).drop("event_id")
 
 
+def _crowded_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads in which all purchases are copies of one row, in the midst of the others."""
+    crowd = F.col("event_type") == "purchase"
+    rows = events(spark, sf_dir)
+    middle = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    same = {"ts": middle, "user_id": F.lit(7).cast("long"), "value": F.lit(20.0)}
+    return wide.stage(raw_load(rows.withColumns({name: F.when(crowd, one).otherwise(F.col(name)) for name, one in same.items()})), EVENTS)
+
+
+@query
+def features_lag_crowded(spark, sf_dir):
+    """One row that repeats more often than a block holds."""
+    return wide.features(_crowded_load(spark, sf_dir), rows_per_block=1_000)
+
+
+@query
+def stored_features_order(spark, sf_dir):
+    """Whether the files of a feature table, and the rows in them, are in the order of time; copies included."""
+    path = scratch_path(spark, "ordered")
+    replace_parquet(wide.features(_crowded_load(spark, sf_dir), rows_per_block=1_000), path)
+    stored = read_parquet(spark, path).select("time", "_metadata.file_name", "_metadata.row_index")
+    # File names start with the number of the partition, so their order is that of the table.
+    within = F.lag("time").over(Window.partitionBy("file_name").orderBy("row_index"))
+    files = (
+        stored.withColumn("disordered", (F.col("time") < within).cast("long"))
+        .groupBy("file_name")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.coalesce("disordered", F.lit(0).cast("long"))).alias("disordered"),
+            F.min("time").alias("low"),
+            F.max("time").alias("high"),
+        )
+    )
+    overlaps = F.col("low") < F.lag("high").over(Window.orderBy("file_name"))  # one row per file
+    return files.withColumn("overlaps", F.coalesce(overlaps.cast("long"), F.lit(0).cast("long"))).agg(
+        F.sum("row_count").alias("row_count"),
+        F.min("low").alias("first_time"),
+        F.max("high").alias("last_time"),
+        F.sum("disordered").alias("disordered_rows"),
+        F.sum("overlaps").alias("overlapping_files"),
+    )
+
+
 @query
 def features_calendar(spark, sf_dir):
     return wide.with_calendar(staged_load(spark, sf_dir)).select("event_id", "time", "hour_of_day", "day_of_week")

@@ -29,6 +29,17 @@ SELECT {_SEVEN}, load_actual - load_forecast AS forecast_error,
 FROM wide WINDOW w AS (ORDER BY time, event_id)"""
 
 
+_CROWDED = """
+crowded AS (
+    SELECT * REPLACE (
+        CASE WHEN event_type = 'purchase' THEN TIMESTAMP '2024-01-15 12:00:00' ELSE ts END AS ts,
+        CASE WHEN event_type = 'purchase' THEN 7 ELSE user_id END AS user_id,
+        CASE WHEN event_type = 'purchase' THEN 20.0 ELSE value END AS value)
+    FROM events
+)"""
+_CROWDED_WIDE = f"{_CROWDED}, {_WIDE.replace('FROM events', 'FROM crowded')}"
+
+
 def _daily(load: str = "load_actual") -> str:
     clock = "strftime(time, '%H:%M')"
     return f"""{_WIDE}, daily AS (
@@ -235,6 +246,12 @@ SQL: dict[str, str] = {
         WITH {_WIDE} SELECT CAST(time AS DATE) AS day, COUNT(*) AS row_count, MAX(load_actual) AS peak_load
         FROM wide WHERE load_actual >= 10 GROUP BY day""",
     "stored_features": _FEATURES,
+    "features_lag_crowded": _FEATURES.replace(_WIDE, _CROWDED_WIDE).replace(
+        "ORDER BY time, event_id", f"ORDER BY {', '.join(f'{name} NULLS FIRST' for name in _SEVEN.split(', '))}"
+    ),
+    "stored_features_order": f"""
+        WITH {_CROWDED_WIDE} SELECT COUNT(*) AS row_count, MIN(time) AS first_time, MAX(time) AS last_time,
+            CAST(0 AS BIGINT) AS disordered_rows, CAST(0 AS BIGINT) AS overlapping_files FROM wide""",
     "stored_quality": _QUALITY,
     "stored_latest_days": f"WITH {_daily()} SELECT * FROM daily ORDER BY day DESC LIMIT 10",
     "stored_series": _TARGETS,

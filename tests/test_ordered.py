@@ -145,6 +145,44 @@ def test_result_is_in_order_across_partitions(spark, tmp_path):
     assert all(a.high < b.low for a, b in zip(spans, spans[1:]))
 
 
+def test_rows_repeated_more_often_than_a_block_holds_stay_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ordered, "_EXPAND_CHUNK", 16)
+    rows = [(t, t, float(t)) for t in range(60)] + [(20, 20, 20.0)] * 200 + [(59, 59, 59.0)] * 90 + [(None, 0, 0.0)] * 70
+    random.Random(2).shuffle(rows)
+    df = numbers(spark, rows)
+    blocks = OrderedBlocks.fit(df, ["t", "u", "v"], 10)
+    assert len(blocks.heavy) == 3 and sum(blocks.heavy.values()) > 15
+    found = blocks.lag(df, LAGS)
+    same_rows(found, plain(df, ["t", "u", "v"]))
+    path = str(tmp_path / "sorted")
+    found.write.parquet(path)
+    stored = spark.read.parquet(path).select("t", "_metadata.file_name", "_metadata.row_index")
+    times = [-1 if row.t is None else row.t for row in stored.orderBy("file_name", "row_index").collect()]
+    assert times == sorted(times)
+    spread = stored.where("t = 20").groupBy("file_name").count().collect()
+    assert len(spread) > 4 and max(row["count"] for row in spread) <= 64
+
+
+@pytest.mark.parametrize("deep", [1, 8, 20, 30])
+def test_only_a_band_of_each_block_is_ranked(spark, deep):
+    df = numbers(spark, [(u * 37 % 5000, u, float(u)) for u in range(5000)])
+    blocks = OrderedBlocks.fit(df, ["t", "u"], 500)
+    blocked = blocks.attach(df)
+    near = ordered._settled(blocked).where(blocks._near_end(deep))
+    sizes = [row["count"] for row in near.groupBy(BLOCK).count().collect()]
+    assert len(sizes) == blocks.blocks - 1 and min(sizes) >= deep
+    assert deep == 30 or max(sizes) < 400
+    same_rows(blocks.lag(df, {"x": ("v", deep)}), plain(df, ["t", "u"], {"x": ("v", deep)}))
+
+
+def test_filters_do_not_spell_the_levels_out(spark):
+    df = spark.range(3000).select(F.col("id").alias("t"), F.lit(0).alias("v"))
+    blocks = OrderedBlocks.fit(df, ["t"], 3)
+    assert blocks.blocks == 1000
+    plan = plan_of(ordered._settled(blocks.attach(df)).where(blocks._near_end(1)))
+    assert plan.count("shiftright") == 9
+
+
 def test_one_shuffle_of_the_rows(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/events.parquet").select("ts", "event_id", "value")
     plan = plan_of(global_lag(df, ["ts"], {"x": ("value", 24)}, ["event_id"], 50))
