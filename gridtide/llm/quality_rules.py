@@ -18,7 +18,6 @@ MOST_REPEATED_PERCENT = 50
 TOKEN = r"\p{L}+|[^\s\p{L}]+"
 
 BUCKETS = 1 << 14
-TRUSTED_DOCS = 100_000
 
 
 def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -89,21 +88,20 @@ def fit_ratio(
     grams: DataFrame,
     trusted_ids: DataFrame,
     buckets: int = BUCKETS,
-    most_trusted: int = TRUSTED_DOCS,
     mixed: float = 0.05,
     least_count: float = 0.5,
 ) -> list[float]:
     """Log ratio of the trusted to the raw multinomial for every bucket; ``grams`` has ``doc_id``, ``_grams``.
 
     The raw counts are over all n-grams of all rows, merged in each task, so that a task ships at
-    most ``buckets`` rows.  The trusted target is a bounded set of rows (``most_trusted`` ids, by the
-    smallest hash of the id), which is what makes its broadcast safe.  The target is mixed with the
+    most ``buckets`` rows.  The trusted target is every row with a trusted id; the ids are stored first, so
+    that Spark knows their size and broadcasts them only below its own threshold.  The target is mixed with the
     raw distribution at ``mixed`` of its size, and at least ``least_count`` counts per bucket, so a
     ratio cannot fall below ``log(mixed / (1 + mixed))`` however large the corpus.
     """
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_trusted_id")).where("_trusted_id IS NOT NULL")
-    chosen = ids.distinct().orderBy(F.xxhash64("_trusted_id"), "_trusted_id").limit(most_trusted)
-    marked = grams.join(F.broadcast(chosen), F.col("doc_id") == F.col("_trusted_id"), "left")
+    chosen = stored(ids.distinct(), "trusted")
+    marked = grams.join(chosen, F.col("doc_id") == F.col("_trusted_id"), "left")
     counted = (
         marked.select(F.col("_trusted_id").isNotNull().cast("long").alias("trusted"), F.explode("_grams").alias("bucket"))
         .groupBy("bucket")
@@ -134,7 +132,6 @@ def quality_rules(
     text: str = "text",
     threshold: float = -0.25,
     buckets: int = BUCKETS,
-    most_trusted: int = TRUSTED_DOCS,
 ) -> DataFrame:
     """Base counts, rule verdict and method verdict of every document.
 
@@ -148,7 +145,7 @@ def quality_rules(
     source = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     counted = with_base_counts(source.withColumn(ROW_HASH, row_hash()))
     rows = stored(with_grams(counted, "text", buckets).drop("text"), "grams")
-    ratios = fit_ratio(rows.select("doc_id", "_grams"), trusted_ids, buckets, most_trusted)
+    ratios = fit_ratio(rows.select("doc_id", "_grams"), trusted_ids, buckets)
     failed = base_failed()
     return rows.withColumn("log_ratio", log_ratio(ratios)).select(
         "doc_id",

@@ -74,11 +74,11 @@ def _within_budgets(apart: Column, ring: list[tuple[int, int]], max_bits: int) -
         order = [ring[(start + step) % parts] for step in range(length)]
         return sum((F.bit_count(_segment(apart, low, width)) for low, width in order), F.lit(0))
 
-    kept = F.bit_count(apart) <= max_bits
+    kept = F.lit(True)
     for start in range(parts):
         for length in range(3, parts):
             kept = kept & ((F.col("start") != start) | (spent(start, length) <= length * max_bits // parts))
-    return kept
+    return kept & (F.bit_count(apart) <= max_bits)
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
