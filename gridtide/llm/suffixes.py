@@ -4,7 +4,8 @@ Every place of a text that matters is reached from an anchor, a place chosen by
 anchors that occur more than once, the texts are cut into strings that are aligned at the anchor; equal
 200-byte strings then lie in the same columns.  A collection of such strings is put in suffix order one
 column per round, from the right: one symbol per string is inserted in front of all suffixes, and order
-and common prefixes follow from those of the round before.
+and common prefixes follow from those of the round before.  An anchor with more strings than a
+collection holds is made longer, level by level, and its strings fall into smaller classes.
 """
 
 from __future__ import annotations
@@ -22,8 +23,7 @@ from gridtide.llm.windows import beside, bucketed_texts, first_copies, joined_by
 
 LENGTH = 200
 ANCHOR = 50
-LARGE_GROUP = 20_000  # as many as one collection holds
-_STRINGS = 20_000  # in one collection, unless an anchor has more
+MOST = 4_000  # strings in one class, and in one collection before its last class
 
 
 class Anchors:
@@ -135,8 +135,8 @@ def repeated_columns(strings: list[bytes], leads: np.ndarray, length: int) -> np
     return found
 
 
-def _collections(strings: DataFrame, length: int) -> DataFrame:
-    """``row``, ``low``, ``high``: runs of starts whose strings occur elsewhere, for anchors of moderate number."""
+def _collections(strings: DataFrame, length: int, most: int) -> DataFrame:
+    """``row``, ``low``, ``high``: runs of starts whose strings occur elsewhere, for classes of at most ``most`` strings."""
 
     def settle(parts: list[tuple]) -> pa.RecordBatch:
         rows, starts, leads, data = zip(*parts)
@@ -156,7 +156,7 @@ def _collections(strings: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             columns = [batch.column(name).to_pylist() for name in ("hash", "row", "start", "lead", "data")]
             for key, *values in zip(*columns):
-                if len(held) >= _STRINGS and key != last:
+                if len(held) >= most and key != last:
                     yield settle(held)
                     held = []
                 held.append(tuple(values))
@@ -168,24 +168,67 @@ def _collections(strings: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "row long, low long, high long")
 
 
-def _one_by_one(strings: DataFrame, length: int) -> DataFrame:
-    """The same for anchors of any number: each string of ``length`` bytes on its own, under 128 bits."""
+def _pieces(strings: DataFrame, length: int, anchor: int) -> DataFrame:
+    """Strings of crowded anchors cut in two, each half under a longer anchor.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, start, data in zip(*(batch.column(name).to_pylist() for name in ("row", "start", "data"))):
-                raw = np.frombuffer(data, np.uint8)
-                hashes = [rolling(stream).windows(rolling(stream).table[raw], length).view(np.int64) for stream in (0, 1)]
-                count = len(hashes[0])
-                arrays = [pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.full(count, row)), pa.array(np.arange(start, start + count))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["hash", "more", "row", "low"])
-
-    found = stored(strings.mapInArrow(run, "hash long, more long, row long, low long"), "strings")
-    again = stored(found.groupBy("hash", "more").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "twice")
-    return found.join(again, ["hash", "more"]).select("row", "low", F.col("low").alias("high"))
-
-
-def repeated_strings(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, large: int = LARGE_GROUP) -> DataFrame:
+    A whole string with ``k`` bytes before its anchor also holds every longer anchor that reaches at most ``k`` bytes back and
+    ``length - anchor - k`` on.  The range ``least`` to ``most`` of ``k`` is halved; the whole strings of a half have
+    ``length - (most - least)`` bytes in common places, and those are its anchor.
+    """
+    middle = F.floor((F.col("least") + F.col("most")) / 2).cast("int")
+    halves = F.array(
+        F.struct("least", middle.alias("most")),
+        F.struct((middle + 1).alias("least"), "most"),
+    )
+    size = F.octet_length("data")
+    before = F.least("half.most", "lead")
+    fewest = F.greatest("half.least", F.col("lead") - (size - length))
+    cut = (
+        strings.withColumn("half", F.explode(F.when(F.col("least") < F.col("most"), halves).otherwise(F.array())))
+        .withColumns({"before": before, "fewest": fewest})
+        .where("fewest <= before")
+        .select(
+            "row",
+            (F.col("start") + F.col("lead") - F.col("before")).alias("start"),
+            F.col("before").alias("lead"),
+            F.substring("data", F.col("lead") - F.col("before") + 1, F.col("before") - F.col("fewest") + length).alias("data"),
+            "half.least",
+            "half.most",
+        )
+    )
+    own = F.substring("data", F.col("lead") - F.col("least") + 1, F.lit(length) - (F.col("most") - F.col("least")))
+    return cut.select(
+        F.xxhash64(own, "least", "most").alias("hash"),
+        F.unhex(F.sha2(F.concat(F.col("lead").cast("string").cast("binary"), F.lit(b":"), F.col("data")), 256)).alias("same"),
+        *cut.columns,
+    )
+
+
+def _settled_classes(strings: DataFrame, length: int, anchor: int, most: int) -> tuple[DataFrame | None, DataFrame]:
+    """Classes of at most ``most`` strings for ``_collections``, from anchors with more, and runs already known.
+
+    Level by level, the strings of a class that is too large get longer anchors.  Equal ones among them occur elsewhere
+    at every start, which settles all but one; a string alone in its class is dropped.  After the last level an anchor is a
+    whole string, of which one is left.  A level makes at most two rows of each string that is left.
+    """
+    settled, runs = None, strings.selectExpr("row", "start AS low", "start AS high").limit(0)
+    crowded = strings.withColumns({"least": F.lit(0), "most": F.lit(length - anchor)})
+    while not crowded.isEmpty():
+        pieces = stored(_pieces(crowded, length, anchor), "pieces")
+        groups = pieces.groupBy("hash", "same").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "start")).alias("first"))
+        told = pieces.join(stored(groups, "groups"), ["hash", "same"])
+        high = F.col("start") + F.octet_length("data") - length
+        runs = runs.unionByName(told.where("copies > 1").select("row", F.col("start").alias("low"), high.alias("high")))
+        ones = stored(told.where(F.struct("row", "start") == F.col("first")).drop("same", "copies", "first"), "ones")
+        counted = stored(ones.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "classes")
+        classes = ones.join(counted, "hash")
+        few = classes.where(F.col("times") <= most).select("hash", "row", "start", "lead", "data")
+        settled = few if settled is None else settled.unionByName(few)
+        crowded = classes.where(F.col("times") > most)
+    return settled, runs
+
+
+def repeated_strings(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST) -> DataFrame:
     """``row``, ``runs`` (of starts, first and last) of strings of ``length`` bytes that start elsewhere too."""
     anchors = stored(_anchor_table(texts, firsts.where("first").select("row"), length, anchor), "anchors")
     # Stored first: a join of two plain shuffles lets Spark split an anchor that very many rows hold.
@@ -195,28 +238,28 @@ def repeated_strings(texts: DataFrame, firsts: DataFrame, length: int = LENGTH,
     discard(anchors)
     del counted, alive
     release(texts.sparkSession)
-    few = _collections(strings.where(F.col("times") <= large), length)
-    many = _one_by_one(strings.where(F.col("times") > large), length)
-    found = few.unionByName(many)
+    classes = strings.where(F.col("times") <= most).select("hash", "row", "start", "lead", "data")
+    settled, runs = _settled_classes(strings.where(F.col("times") > most), length, anchor, most)
+    found = _collections(classes if settled is None else classes.unionByName(settled), length, most).unionByName(runs)
     # Bounded by the bytes of one text.
     return stored(found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs")), "runs")
 
 
 def without_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, large: int = LARGE_GROUP
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes that stay) of every row.
 
     A byte of the UTF-8 text goes if a string of ``length`` bytes that covers it starts anywhere else, in the same
     row or another.  Copies of a whole text are settled by their digest, one of them stands for all.  Anchors with
-    over ``large`` places are settled string by string, so no task holds more than that many of one anchor.
+    over ``most`` places are made longer until no class of strings has more, so no task holds more than that many of one.
 
     A null text is empty.  Rows that repeat an id, and rows without one, are documents like others.  An empty
     table gives no rows; other columns are not read.
     """
     texts = bucketed_texts(docs, doc_id, text)
     firsts = stored(first_copies(texts), "copies")
-    repeated = repeated_strings(texts, firsts, length, min(anchor, length), large)
+    repeated = repeated_strings(texts, firsts, length, min(anchor, length), most)
     # Rows that copy another take the runs of none: all of their bytes are repeated, if they are long enough.
     notes = firsts.select("row", "copies").join(repeated, "row", "left")
 

@@ -18,12 +18,12 @@ def _texts(odd_texts, small_texts):
     return dict(enumerate([*odd_texts, *more])) | {100 + i: text for i, text in small_texts.items()}
 
 
-@pytest.mark.parametrize("large", [1000, 2])
-def test_equals_brute_force(docs_of, odd_texts, small_texts, large):
+@pytest.mark.parametrize("most", [4000, 2])
+def test_equals_brute_force(docs_of, odd_texts, small_texts, most):
     texts = _texts(odd_texts, small_texts)
     items = list(texts.items())
     random.Random(1).shuffle(items)
-    assert _found(docs_of(items), large=large) == brute.kept_bytes(texts)
+    assert _found(docs_of(items), most=most) == brute.kept_bytes(texts)
 
 
 def test_short_strings_of_few_letters(docs_of):
@@ -32,6 +32,25 @@ def test_short_strings_of_few_letters(docs_of):
     assert _found(docs_of(texts.items()), length=8, anchor=3) == brute.kept_bytes(texts, 8)
 
 
+def test_anchor_of_fifty_thousand_places(spark, docs_of, monkeypatch):
+    """A passage in 50,000 texts: all of it goes, in a few classes, with at most two rows of a string and level."""
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(30))
+    texts = {i: f"{i:05d}{passage[: 24 + i % 7]}{i * 7919 % 100_000:05d}" for i in range(50_000)}
+    made, write = [], suffixes.stored
+
+    def noted(df, name):
+        table = write(df, name)
+        made.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(suffixes, "stored", noted)
+    assert _found(docs_of(texts.items()), length=20, anchor=5, most=500) == brute.kept_bytes(texts, 20)
+    strings = sum(count for name, count in made if name == "contexts")
+    assert all(count <= 2 * strings for name, count in made if name == "pieces")
+    assert 1 < sum(name == "pieces" for name, _ in made) <= 5
+
+
 def test_columns_equal_comparison_of_all_pairs():
     rng = random.Random(6)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(6, 20))) for _ in range(60)]
