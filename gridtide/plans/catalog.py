@@ -618,12 +618,22 @@ def train_split(spark, sf_dir):
     return chronological_split(rows, 0.8, folds=3, tiebreak=["event_id"])
 
 
-@query
-def train_holdout(spark, sf_dir):
-    """Held-out error where the target is a step function of two declared inputs, so trees can meet it exactly."""
+def _trained(spark: SparkSession, sf_dir: str):
+    """The declared search where the target is a step function of two declared inputs, so trees can meet it exactly."""
     kinds = events(spark, sf_dir).select("event_id", "event_type")
     shown = staged_load(spark, sf_dir).join(kinds, "event_id")
     solar, wind = ((F.col("event_type") == kind).cast("double") for kind in ("view", "click"))
     known = {"solar_actual": solar, "wind_actual": wind, "load_actual": 20.0 + 30.0 * solar + 10.0 * wind}
-    grid = {"n_estimators": [2], "max_depth": [1, 3], "min_samples_split": [5], "learning_rate": [0.1]}
-    return train(shown.withColumns(known), TrainingSpec(grid=grid)).scores.withColumns(_rounded("mae", "rmse"))
+    return train(shown.withColumns(known), TrainingSpec())
+
+
+@query
+def train_holdout(spark, sf_dir):
+    """Held-out error of the best point of the whole declared grid."""
+    return _trained(spark, sf_dir).scores.withColumns(_rounded("mae", "rmse"))
+
+
+@query
+def train_grid(spark, sf_dir):
+    """Cross-validated error of all points of the declared grid."""
+    return _trained(spark, sf_dir).points.withColumns(_rounded("mae"))

@@ -294,3 +294,21 @@ SQL["stream_rolling_scattered"] = SQL["stream_rolling_avg"]
 SQL["train_holdout"] = """
     SELECT COUNT(*) - CAST(floor(COUNT(*) * 0.8) AS BIGINT) AS scored_rows,
         CAST(0 AS DOUBLE) AS mae, CAST(0 AS DOUBLE) AS rmse FROM events"""
+# A tree takes the learning rate's share of what is left of each step, so the error shrinks by a power.
+SQL["train_grid"] = """
+    WITH numbered AS (
+        SELECT 20.0 + 30.0 * (event_type = 'view')::INTEGER + 10.0 * (event_type = 'click')::INTEGER AS load,
+            ROW_NUMBER() OVER (ORDER BY ts) AS n, CAST(floor(COUNT(*) OVER () * 0.8) AS BIGINT) AS training
+        FROM events),
+    folds AS (
+        SELECT load::DOUBLE AS load, CASE WHEN n <= training // 3 THEN 0 WHEN n <= training * 2 // 3 THEN 1 ELSE 2 END AS fold
+        FROM numbered WHERE n <= training),
+    means AS (
+        SELECT held.fold, AVG(folds.load) AS mean
+        FROM range(3) AS held(fold) JOIN folds ON folds.fold <> held.fold GROUP BY held.fold),
+    errors AS (SELECT fold, AVG(ABS(load - mean)) AS error FROM folds JOIN means USING (fold) GROUP BY fold)
+    SELECT trees::DOUBLE AS n_estimators, depth::DOUBLE AS max_depth, least::DOUBLE AS min_samples_split,
+        rate::DOUBLE AS learning_rate, ROUND(AVG(error) * POWER(1 - rate::DOUBLE, trees), 6) AS mae
+    FROM errors, (VALUES (200), (500)) AS a(trees), (VALUES (5), (8)) AS b(depth), (VALUES (5), (10)) AS c(least),
+        (VALUES (0.01), (0.05)) AS d(rate)
+    GROUP BY trees, depth, least, rate"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +53,12 @@ def _local_root() -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch folder."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers that start from now on find this package where the driver found it."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [part for part in environment.get("PYTHONPATH", "").split(os.pathsep) if part]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
