@@ -168,7 +168,7 @@ def _collections(strings: DataFrame, length: int, most: int) -> DataFrame:
     return dealt.mapInArrow(run, "row long, low long, high long")
 
 
-def _pieces(strings: DataFrame, length: int, anchor: int) -> DataFrame:
+def _pieces(strings: DataFrame, length: int) -> DataFrame:
     """Strings of crowded anchors cut in two, each half under a longer anchor.
 
     A whole string with ``k`` bytes before its anchor also holds every longer anchor that reaches at most ``k`` bytes back and
@@ -197,26 +197,23 @@ def _pieces(strings: DataFrame, length: int, anchor: int) -> DataFrame:
         )
     )
     own = F.substring("data", F.col("lead") - F.col("least") + 1, F.lit(length) - (F.col("most") - F.col("least")))
-    return cut.select(
-        F.xxhash64(own, "least", "most").alias("hash"),
-        F.unhex(F.sha2(F.concat(F.col("lead").cast("string").cast("binary"), F.lit(b":"), F.col("data")), 256)).alias("same"),
-        *cut.columns,
-    )
+    return cut.withColumn("hash", F.xxhash64(own, "least", "most"))
 
 
 def _settled_classes(strings: DataFrame, length: int, anchor: int, most: int) -> tuple[DataFrame | None, DataFrame]:
     """Classes of at most ``most`` strings for ``_collections``, from anchors with more, and runs already known.
 
-    Level by level, the strings of a class that is too large get longer anchors.  Equal ones among them occur elsewhere
-    at every start, which settles all but one; a string alone in its class is dropped.  After the last level an anchor is a
-    whole string, of which one is left.  A level makes at most two rows of each string that is left.
+    Equal strings of a class occur elsewhere at every start, which settles all but one; a string then alone in its class is
+    dropped.  Level by level, the strings left of a class that is too large get longer anchors.  After the last level
+    an anchor is a whole string, of which one is left.  A level makes at most two rows of each string that is left.
     """
     settled, runs = None, strings.selectExpr("row", "start AS low", "start AS high").limit(0)
-    crowded = strings.withColumns({"least": F.lit(0), "most": F.lit(length - anchor)})
-    while not crowded.isEmpty():
-        pieces = stored(_pieces(crowded, length, anchor), "pieces")
-        groups = pieces.groupBy("hash", "same").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "start")).alias("first"))
-        told = pieces.join(stored(groups, "groups"), ["hash", "same"])
+    level = strings.select("hash", "row", "start", "lead", "data", F.lit(0).alias("least"), F.lit(length - anchor).alias("most"))
+    while not level.isEmpty():
+        # A digest, as strings of one class differ in few bytes or none.
+        told = level.withColumn("same", F.unhex(F.sha2(F.concat(F.encode(F.concat("lead", F.lit(":")), "UTF-8"), "data"), 256)))
+        groups = told.groupBy("hash", "same").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "start")).alias("first"))
+        told = told.join(stored(groups, "groups"), ["hash", "same"])
         high = F.col("start") + F.octet_length("data") - length
         runs = runs.unionByName(told.where("copies > 1").select("row", F.col("start").alias("low"), high.alias("high")))
         ones = stored(told.where(F.struct("row", "start") == F.col("first")).drop("same", "copies", "first"), "ones")
@@ -224,7 +221,7 @@ def _settled_classes(strings: DataFrame, length: int, anchor: int, most: int) ->
         classes = ones.join(counted, "hash")
         few = classes.where(F.col("times") <= most).select("hash", "row", "start", "lead", "data")
         settled = few if settled is None else settled.unionByName(few)
-        crowded = classes.where(F.col("times") > most)
+        level = stored(_pieces(classes.where(F.col("times") > most), length), "pieces")
     return settled, runs
 
 

@@ -48,7 +48,7 @@ def test_anchor_of_fifty_thousand_places(spark, docs_of, monkeypatch):
     assert _found(docs_of(texts.items()), length=20, anchor=5, most=500) == brute.kept_bytes(texts, 20)
     strings = sum(count for name, count in made if name == "contexts")
     assert all(count <= 2 * strings for name, count in made if name == "pieces")
-    assert 1 < sum(name == "pieces" for name, _ in made) <= 5
+    assert 1 < sum(name == "pieces" and count > 0 for name, count in made) <= 4
 
 
 def test_columns_equal_comparison_of_all_pairs():
