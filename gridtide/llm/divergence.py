@@ -21,7 +21,7 @@ from gridtide.llm.windows import joined_bytes
 MIN_DOCS = 10
 TOP = 10
 UNIT = 1_000_000_000
-_HELD_ROWS = 1_500_000  # counts or terms that a worker keeps before it passes them on
+_HELD_ROWS = 400_000  # counts or terms that a worker keeps before it passes them on
 _CELLS = 2_000_000
 _BLOCK = 256  # terms held against each other at once
 
@@ -48,7 +48,8 @@ def _terms(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
 
 def _sums(table: pa.Table) -> pa.Table:
     keys = ["lang", "source", "term"]
-    added = table.group_by(keys).aggregate([("n", "sum"), ("docs", "sum")])
+    # In one thread: each thread would hold groups of its own, on top of those of the other tasks.
+    added = table.group_by(keys, use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
     return added.rename_columns([name.removesuffix("_sum") for name in added.column_names]).select([*keys, "n", "docs"])
 
 
@@ -79,26 +80,27 @@ def _chunk_counts(batch: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -
     )
 
 
+def counted_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of each chunk added up, passed on past ``_HELD_ROWS`` sums; at most twice as many rows and a chunk's are held."""
+    held: list[pa.Table] = []
+    for batch, raw, offsets in joined_bytes(batches):
+        held.append(_chunk_counts(batch, raw, offsets))
+        if sum(table.num_rows for table in held) > 2 * _HELD_ROWS:
+            held = [_sums(pa.concat_tables(held))]
+            if held[0].num_rows > _HELD_ROWS:
+                yield from held.pop().to_batches(100_000)
+    if held:
+        yield from _sums(pa.concat_tables(held)).to_batches(100_000)
+
+
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``lang``, ``source``, ``term``, ``n`` (occurrences), ``docs`` (rows with the term) of every group.
 
     Each group also has one row of the empty term.  A worker adds up what it reads before anything moves.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for batch, raw, offsets in joined_bytes(batches):
-            held.append(_chunk_counts(batch, raw, offsets))
-            if sum(table.num_rows for table in held) > 2 * _HELD_ROWS:
-                held = [_sums(pa.concat_tables(held))]
-                if held[0].num_rows > _HELD_ROWS:
-                    yield from held.pop().to_batches(100_000)
-        if held:
-            yield from _sums(pa.concat_tables(held)).to_batches(100_000)
-
     share_code(docs.sparkSession)
     named = docs.select(*[F.coalesce(F.col(old), F.lit("")).alias(new) for old, new in ((lang, "lang"), (source, "source"), (text, "text"))])
-    rows = named.mapInArrow(run, "lang string, source string, term string, n long, docs long")
+    rows = named.mapInArrow(counted_chunks, "lang string, source string, term string, n long, docs long")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 

@@ -1,8 +1,11 @@
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridtide.llm import divergence
@@ -101,3 +104,42 @@ def test_merged_skybands_keep_the_first_of_every_group(spark):
 def test_shares_of_large_counts_are_exact():
     counts, totals = np.array([[0, 10**12, 3 * 10**14]]), np.array([7, 3 * 10**12, 3 * 10**14 + 2])
     assert divergence._shares(counts, totals).tolist() == [[1 + 10**9 * (c + 2) // t for c, t in zip(counts[0].tolist(), totals.tolist())]]
+
+
+_COUNT_MANY = """
+import pyarrow as pa
+from gridtide.llm import divergence
+
+letters = bytes(range(97, 123)).decode()
+name = lambda i: "".join(letters[i // 26**k % 26] for k in range(5))
+texts = [" ".join(map(name, range(first, first + 50_000))) for first in range(0, 2_500_000, 50_000)]
+batch = pa.record_batch([pa.array(["en"] * len(texts)), pa.array(["web"] * len(texts)), pa.array(texts)], ["lang", "source", "text"])
+del texts
+before = pa.default_memory_pool().max_memory()
+rows = [(part.num_rows, sum(part["n"].to_pylist())) for part in divergence.counted_chunks(iter([batch]))]
+print(*map(sum, zip(*rows)), (pa.default_memory_pool().max_memory() - before) // 1_000_000)
+"""
+
+
+def test_counting_many_terms_holds_little_memory():
+    """In a process of its own, as Arrow keeps one peak for all."""
+    from gridtide import __path__ as package
+
+    run = subprocess.run([sys.executable, "-c", _COUNT_MANY], cwd=f"{package[0]}/..", capture_output=True, text=True, check=True)
+    rows, n, peak_mb = map(int, run.stdout.split())
+    assert rows >= n == 2_500_000 and peak_mb < 400
+
+
+def test_counts_passed_on_early_add_up(monkeypatch):
+    monkeypatch.setattr(divergence, "_HELD_ROWS", 5)
+    texts = ["a b c d e f g h", "a a i", None, "b c j k l m n o p", "a"] * 3
+    batches = [pa.record_batch([pa.array(["en"]), pa.array(["x"]), pa.array([text or ""])], ["lang", "source", "text"]) for text in texts]
+    parts = list(divergence.counted_chunks(iter(batches)))
+    found, docs = Counter(), Counter()
+    for part in parts:
+        for row in part.to_pylist():
+            found[row["term"]] += row["n"]
+            docs[row["term"]] += row["docs"]
+    words = [text.split() for text in texts if text]
+    assert len(parts) > 1
+    assert +found == Counter(sum(words, [])) and {t: n for t, n in docs.items() if t} == Counter(w for own in words for w in set(own))
