@@ -2,8 +2,8 @@
 
 Every place of a text that matters is reached from an anchor, a place chosen by its content.  Around
 anchors that occur more than once, the texts are cut into strings that are aligned at the anchor; equal
-200-byte strings then lie in the same columns.  A collection of such strings is put in suffix order one
-column per round, from the right: one symbol per string is inserted in front of all suffixes, and order
+200-byte strings then lie in the same columns.  Strings equal as a whole are settled by their digest, and one of
+them goes on.  A collection of such strings is put in suffix order one column per round, from the right: one symbol per string is inserted in front of all suffixes, and order
 and common prefixes follow from those of the round before.  An anchor with more strings than a
 collection holds is made longer, level by level, and its strings fall into smaller classes.
 """
@@ -11,10 +11,12 @@ collection holds is made longer, level by level, and its strings fall into small
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,50 +41,50 @@ class Anchors:
 
 
 def _anchor_table(texts: DataFrame, notes: DataFrame, length: int, anchor: int) -> DataFrame:
-    """``hash``, ``row``, ``place`` of every anchor."""
+    """``hash`` of every anchor and where its whole strings lie: ``row``, ``start``, ``lead``, ``size``.
+
+    ``start`` is the place of their first byte in the text, ``lead`` the number of bytes before the anchor.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in joined_bytes(batches):
             found = Anchors(raw, offsets, length, anchor)
-            places = np.unique(found.chosen)
+            # Strings of one anchor start at neighbouring places.
+            first = np.flatnonzero(np.diff(found.chosen, prepend=-1))
+            last = np.append(first, len(found.chosen))[1:] - 1
+            places, starts = found.chosen[first], found.whole[first]
             text = np.searchsorted(offsets, places, side="right") - 1
             rows = batch.column("row").to_numpy()[text]
-            columns = [found.hashes[places].view(np.int64), rows, (places - offsets[text]).astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["hash", "row", "place"])
+            columns = [found.hashes[places].view(np.int64), rows, starts - offsets[text]]
+            columns += [(places - starts).astype(np.int32), (found.whole[last] - starts + length).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["hash", "row", "start", "lead", "size"])
 
-    return beside(texts, notes).select("row", "text").mapInArrow(run, "hash long, row long, place long")
+    return beside(texts, notes).select("row", "text").mapInArrow(run, "hash long, row long, start long, lead int, size int")
 
 
-def _strings(texts: DataFrame, alive: DataFrame, length: int, anchor: int) -> DataFrame:
-    """The bytes of all whole strings of each live anchor: ``hash``, ``times``, ``row``, ``start``, ``lead``, ``data``.
-
-    ``start`` is the place of the first byte in its text, ``lead`` the number of bytes before the anchor.
-    """
+def _strings(texts: DataFrame, places: DataFrame, told: Callable[[memoryview], bytes], name: str) -> DataFrame:
+    """``places`` of whole strings (``hash``, ``row``, ``start``, ``lead``, ``size``, ``times``) with what is ``told`` of their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in joined_bytes(batches):
-            found = Anchors(raw, offsets, length, anchor)
-            out: list[list] = [[] for _ in range(6)]
-            live = {}
-            for row, first, items in zip(batch.column("row").to_pylist(), offsets.tolist(), batch.column("alive").to_pylist()):
-                live |= {first + item["place"]: (row, first, item["times"]) for item in items}
-            # Strings of one anchor start at neighbouring places.
-            cuts = np.flatnonzero(np.diff(found.chosen) != 0) + 1
-            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(found.chosen)]):
-                noted = live.get(int(found.chosen[low])) if high else None
-                if noted:
-                    row, first, times = noted
-                    begin, end = int(found.whole[low]), int(found.whole[high - 1]) + length
-                    place = int(found.chosen[low])
-                    values = (int(found.hashes[place : place + 1].view(np.int64)[0]), times, row, begin - first, place - begin, raw[begin:end].tobytes())
-                    for column, value in zip(out, values):
-                        column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            arrays = [pa.array(column, kind) for column, kind in zip(out, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["hash", "times", "row", "start", "lead", "data"])
-
-    rows = beside(texts, alive).select("row", "text", "alive")
-    return rows.mapInArrow(run, "hash long, times long, row long, start long, lead int, data binary")
+            lengths = pc.list_value_length(batch.column("places")).to_numpy()
+            flat = batch.column("places").flatten()
+            fields = [pc.struct_field(flat, field) for field in ("hash", "start", "lead", "size", "times")]
+            begin = np.repeat(offsets[:-1], lengths) + fields[1].to_numpy()
+            end = begin + fields[3].to_numpy()
+            data = memoryview(raw)
+            values = pa.array([told(data[low:high]) for low, high in zip(begin.tolist(), end.tolist())], pa.binary())
+            rows = pa.array(np.repeat(batch.column("row").to_numpy(), lengths))
+            yield pa.RecordBatch.from_arrays([rows, *fields, values], names=["row", "hash", "start", "lead", "size", "times", name])
+
+    # Bounded by the bytes of one text.
+    of_row = places.groupBy("row").agg(F.collect_list(F.struct("hash", "start", "lead", "size", "times")).alias("places"))
+    rows = beside(texts, of_row).select("row", "text", "places")
+    return rows.mapInArrow(run, f"row long, hash long, start long, lead int, size int, times long, {name} binary")
+
+
+def _digest(data: memoryview) -> bytes:
+    return sha256(data).digest()
 
 
 def _least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -200,17 +202,42 @@ def _pieces(strings: DataFrame, length: int) -> DataFrame:
     return cut.withColumn("hash", F.xxhash64(own, "least", "most"))
 
 
-def _settled_classes(strings: DataFrame, length: int, anchor: int, most: int) -> tuple[DataFrame | None, DataFrame]:
+def _settled(texts: DataFrame, anchors: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """``strings`` that differ from others of their anchor, one of equal ones, and runs already known.
+
+    Equal strings of an anchor occur elsewhere at every start, which settles all but one; a string then alone is dropped.
+    Only places and digests move for that, and the bytes of a string are cut out once, however many texts hold it.
+    """
+    # Stored first: a join of two plain shuffles lets Spark split an anchor that very many rows hold.
+    counted = stored(anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "twice")
+    # A digest, as strings of one anchor differ in few bytes or none.
+    contexts = stored(_strings(texts, anchors.join(counted, "hash"), _digest, "same").drop("times"), "contexts")
+    discard(anchors)
+    del counted
+    release(texts.sparkSession)
+    keys = ["hash", "lead", "same"]
+    first = F.min(F.struct("row", "start", "size")).alias("first")
+    groups = stored(contexts.groupBy(keys).agg(F.count(F.lit(1)).alias("copies"), first), "groups")
+    copied = contexts.join(groups.where("copies > 1").select(keys), keys)
+    runs = stored(copied.selectExpr("row", "start AS low", f"start + size - {length} AS high"), "copied")
+    discard(contexts)
+    classes = stored(groups.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "classes")
+    ones = groups.join(classes, "hash").select("hash", "first.row", "first.start", "lead", "first.size", "times")
+    strings = stored(_strings(texts, ones, bytes, "data").drop("size"), "strings")
+    return strings, runs
+
+
+def _small_classes(strings: DataFrame, length: int, anchor: int, most: int) -> tuple[DataFrame | None, DataFrame]:
     """Classes of at most ``most`` strings for ``_collections``, from anchors with more, and runs already known.
 
-    Equal strings of a class occur elsewhere at every start, which settles all but one; a string then alone in its class is
-    dropped.  Level by level, the strings left of a class that is too large get longer anchors.  After the last level
-    an anchor is a whole string, of which one is left.  A level makes at most two rows of each string that is left.
+    Level by level, the strings left of a class that is too large get longer anchors, and equal ones of a new class are
+    settled like those of an anchor.  After the last level an anchor is a whole string, of which one is left.  A level makes
+    at most two rows of each string that is left.
     """
     settled, runs = None, strings.selectExpr("row", "start AS low", "start AS high").limit(0)
-    level = strings.select("hash", "row", "start", "lead", "data", F.lit(0).alias("least"), F.lit(length - anchor).alias("most"))
+    whole = strings.select("hash", "row", "start", "lead", "data", F.lit(0).alias("least"), F.lit(length - anchor).alias("most"))
+    level = stored(_pieces(whole, length), "pieces")
     while not level.isEmpty():
-        # A digest, as strings of one class differ in few bytes or none.
         told = level.withColumn("same", F.unhex(F.sha2(F.concat(F.encode(F.concat("lead", F.lit(":")), "UTF-8"), "data"), 256)))
         groups = told.groupBy("hash", "same").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("row", "start")).alias("first"))
         told = told.join(stored(groups, "groups"), ["hash", "same"])
@@ -228,16 +255,11 @@ def _settled_classes(strings: DataFrame, length: int, anchor: int, most: int) ->
 def repeated_strings(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST) -> DataFrame:
     """``row``, ``runs`` (of starts, first and last) of strings of ``length`` bytes that start elsewhere too."""
     anchors = stored(_anchor_table(texts, firsts.where("first").select("row"), length, anchor), "anchors")
-    # Stored first: a join of two plain shuffles lets Spark split an anchor that very many rows hold.
-    counted = stored(anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "twice")
-    alive = anchors.join(counted, "hash").groupBy("row").agg(F.collect_list(F.struct("place", "times")).alias("alive"))
-    strings = stored(_strings(texts, alive, length, anchor), "contexts")
-    discard(anchors)
-    del counted, alive
+    strings, runs = _settled(texts, anchors, length)
     release(texts.sparkSession)
     classes = strings.where(F.col("times") <= most).select("hash", "row", "start", "lead", "data")
-    settled, runs = _settled_classes(strings.where(F.col("times") > most), length, anchor, most)
-    found = _collections(classes if settled is None else classes.unionByName(settled), length, most).unionByName(runs)
+    small, more = _small_classes(strings.where(F.col("times") > most), length, anchor, most)
+    found = _collections(classes if small is None else classes.unionByName(small), length, most).unionByName(runs).unionByName(more)
     # Bounded by the bytes of one text.
     return stored(found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs")), "runs")
 

@@ -51,6 +51,24 @@ def test_anchor_of_fifty_thousand_places(spark, docs_of, monkeypatch):
     assert 1 < sum(name == "pieces" and count > 0 for name, count in made) <= 4
 
 
+def test_equal_strings_are_cut_out_once(docs_of, monkeypatch):
+    """Near copies: bytes move once for each different string of an anchor, not once for each text that holds it."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(300))
+    texts = {i: f"{i:04d}{passage}{i * 7919 % 10_000:04d}" for i in range(600)}
+    made, write = [], suffixes.stored
+
+    def noted(df, name):
+        table = write(df, name)
+        if "data" in table.columns:
+            made.append((table.count(), table.select("hash", "lead", "data").distinct().count()))
+        return table
+
+    monkeypatch.setattr(suffixes, "stored", noted)
+    assert _found(docs_of(texts.items()), length=20, anchor=5) == brute.kept_bytes(texts, 20)
+    assert made and all(rows == different for rows, different in made)
+
+
 def test_columns_equal_comparison_of_all_pairs():
     rng = random.Random(6)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(6, 20))) for _ in range(60)]
